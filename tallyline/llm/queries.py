@@ -5,14 +5,30 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallyline.llm import bpe
+from tallyline.llm import bpe, media, mixing
 from tallyline.llm.common import table
 
 #: Rank file and splitting pattern of the tokenizer; the path is a parameter of the query.
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
 
 
+def op3_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("raw"))
+    payload = media.padded(F.col("raw"))
+    figure = F.format_string('<article><p>Document %s</p><figure><img src="sha256:%s"><figcaption>%s bytes</figcaption></figure></article>', F.col("doc_id").cast("string"), F.sha2(payload, 256), F.octet_length("raw").cast("string"))
+    pages = docs.select("doc_id", figure.alias("html"))
+    refs = media.references(media.sequences(pages, "doc_id", "html"), "doc_id")
+    stored = media.describe(media.media_table(docs.select(payload.alias("payload")), "payload"))
+    size = F.regexp_extract("caption", r"(\d+) bytes", 1).cast("long")
+    return media.resolve(refs.withColumn("n_bytes", size), stored).select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "pos", "caption")
+
+
+def op4_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str, rank_file: str | None = None) -> DataFrame:
     import public_tokenizers
 
@@ -21,6 +37,8 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str, rank_file: str | None = None)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_media_columns": op3_media_columns,
+    "op4_mixing_sources": op4_mixing_sources,
     "op8_byte_bpe": op8_byte_bpe,
 }
 
