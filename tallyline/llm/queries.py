@@ -7,13 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm import bpe, media, mixing
+from tallyline.llm import bpe, media, mixing, quality, toxicity
 from tallyline.llm.common import table
+from tallyline.llm.training import fold, labelled
 
 #: Rank file and splitting pattern of the tokenizer; the path is a parameter of the query.
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held = table(spark, sf_dir, "documents"), fold("doc_id", 5) == 0
+    sample = labelled(docs, table(spark, sf_dir, "labels"), "doc_id", "text", "quality", quality.ROWS, ~held)
+    found = quality.score(docs, "doc_id", "text", quality.train(sample))
+    return found.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op3_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("raw"))
     payload = media.padded(F.col("raw"))
@@ -29,6 +37,13 @@ def op4_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held = table(spark, sf_dir, "documents"), fold("doc_id", 3) == 1
+    sample = labelled(docs, table(spark, sf_dir, "labels"), "doc_id", "text", "toxic", toxicity.ROWS, ~held)
+    found = toxicity.score(docs, "doc_id", "text", toxicity.train(sample))
+    return found.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"), F.size("passages").alias("n_passages"))
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str, rank_file: str | None = None) -> DataFrame:
     import public_tokenizers
 
@@ -37,8 +52,10 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str, rank_file: str | None = None)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_quality_classifier": op2_quality_classifier,
     "op3_media_columns": op3_media_columns,
     "op4_mixing_sources": op4_mixing_sources,
+    "op5_toxicity": op5_toxicity,
     "op8_byte_bpe": op8_byte_bpe,
 }
 
