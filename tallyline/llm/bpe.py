@@ -8,6 +8,7 @@ those of the public rank-file format: the lowest rank merges first, the leftmost
 from __future__ import annotations
 
 import base64
+import hashlib
 import heapq
 from collections.abc import Iterator
 from itertools import chain
@@ -19,10 +20,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyline.llm.common import pieces
+from tallyline.llm.common import kept, pieces
 
 #: Distinct pre-tokens whose ids a worker remembers; the memory is emptied when full.
-MEMO_ENTRIES = 300_000
+MEMO_ENTRIES = 150_000
 
 
 def load_ranks(path: str) -> list[bytes]:
@@ -42,9 +43,13 @@ class PerfectHash:
     searches the seed that sends its keys to free slots; a bucket of one key names its slot outright.
     """
 
-    def __init__(self, keys: list[bytes]):
+    def __init__(self, keys: list[bytes], seeds: list[int] | None = None, slots: list[int] | None = None):
         self.size = n = len(keys)
         self.buckets = max(1, n // 4)
+        self.keys = keys
+        if seeds is not None and slots is not None:  # built before
+            self.seeds, self.slots = seeds, slots
+            return
         self.seeds = [0] * self.buckets
         self.slots: list[int] = [-1] * n
         grouped: list[list[int]] = [[] for _ in range(self.buckets)]
@@ -71,7 +76,6 @@ class PerfectHash:
             self.seeds[bucket] = seed
             for spot, member in zip(spots, members):
                 self.slots[spot] = member
-        self.keys = keys
 
     def get(self, key: bytes) -> int | None:
         """Index of ``key`` among the keys, or None for any other string."""
@@ -112,47 +116,62 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 
 class _Memo(dict):
-    """Ids by pre-token, as they are first met."""
+    """Ids by pre-token, as they are first met: the newest and, behind them, those of the turn before."""
 
-    def __init__(self, vocabulary: list[bytes]):
-        self.whole = PerfectHash(vocabulary)
+    def __init__(self, vocabulary: list[bytes], whole: PerfectHash):
+        self.whole = whole
         self.ranks = {token: rank for rank, token in enumerate(vocabulary)}
+        self.old: dict[str, tuple[int, ...]] = {}
 
     def __missing__(self, token: str) -> tuple[int, ...]:
         if len(self) >= MEMO_ENTRIES:
+            self.old = dict(self)
             self.clear()
-        piece = token.encode("utf-8")
-        rank = self.whole.get(piece)
-        ids = (rank,) if rank is not None else tuple(merge(piece, self.ranks))
+        ids = self.old.get(token)
+        if ids is None:
+            piece = token.encode("utf-8")
+            rank = self.whole.get(piece)
+            ids = (rank,) if rank is not None else tuple(merge(piece, self.ranks))
         self[token] = ids
         return ids
 
 
-def encode(df: DataFrame, key: str, text: str, vocabulary: list[bytes], pattern: str) -> DataFrame:
+def encode(df: DataFrame, key: str, text: str, vocabulary: list[bytes], pattern: str, back: bool = False) -> DataFrame:
     """``key`` and ``ids array<int>`` of every row; a null text counts as empty and has no ids.
 
-    Every row has its own result: repeated rows and keys stay, null keys are kept, other columns are
-    not returned. A text of any length is encoded whole. The vocabulary has a fixed size and travels
-    with the task.
+    With ``back``, a third column ``decoded`` holds the bytes that the ids stand for. Every row has
+    its own result: repeated rows and keys stay, null keys are kept, other columns are not returned.
+    A text of any length is encoded whole. The vocabulary has a fixed size and is broadcast with its
+    hash; a worker process keeps both for its next tasks.
     """
-    shared = df.sparkSession.sparkContext.broadcast(vocabulary)
+    whole = PerfectHash(vocabulary)
+    shared = df.sparkSession.sparkContext.broadcast((vocabulary, whole.seeds, whole.slots))
     kind = df.schema[key].dataType
+    name = "bpe", hashlib.sha256(b"\0".join(vocabulary)).hexdigest()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import regex
 
-        memo, find = _Memo(shared.value), regex.compile(pattern).findall
+        def build() -> _Memo:
+            tokens, seeds, slots = shared.value
+            return _Memo(tokens, PerfectHash(tokens, seeds, slots))
+
+        memo, find = kept(name, build), regex.compile(pattern).findall
+        token = memo.whole.keys.__getitem__
         for batch in batches:
             for part in pieces(batch, "text"):
-                values, offsets = [], [0]
+                values, offsets, decoded = [], [0], []
                 for value in part.column("text").to_pylist():
                     ids = list(chain.from_iterable(map(memo.__getitem__, find(value)))) if value else []
                     values.append(np.array(ids, dtype=np.int32))
                     offsets.append(offsets[-1] + len(ids))
+                    if back:
+                        decoded.append(b"".join(map(token, ids)))
                 lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(values)))
-                yield pa.RecordBatch.from_arrays([part.column("key"), lists], names=[key, "ids"])
+                columns = [part.column("key"), lists, *([pa.array(decoded, pa.binary())] if back else [])]
+                yield pa.RecordBatch.from_arrays(columns, names=[key, "ids", "decoded"][: len(columns)])
 
-    schema = f"`{key}` {kind.simpleString()}, ids array<int>"
+    schema = f"`{key}` {kind.simpleString()}, ids array<int>" + ", decoded binary" * back
     return df.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text")).mapInArrow(run, schema)
 
 
@@ -177,7 +196,7 @@ def decode(df: DataFrame, ids: str, vocabulary: list[bytes]) -> DataFrame:
 
 def round_trip(df: DataFrame, key: str, text: str, vocabulary: list[bytes], pattern: str) -> DataFrame:
     """Per row: the number of ids, the digest of the ids and that of the text decoded from them."""
-    return decode(encode(df, key, text, vocabulary, pattern), "ids", vocabulary).select(
+    return encode(df, key, text, vocabulary, pattern, back=True).select(
         key,
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),

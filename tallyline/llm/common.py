@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
-from collections.abc import Iterator
+import types
+from collections.abc import Callable, Iterator
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -36,3 +39,11 @@ def pieces(batch: pa.RecordBatch, column: str, max_bytes: int = 4 << 20) -> Iter
     cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), batch.num_rows]
     for begin, end in zip(cuts, cuts[1:]):
         yield batch.slice(begin, end - begin)
+
+
+def kept(name: tuple, build: Callable[[], Any]) -> Any:
+    """What ``build`` makes, kept under ``name`` in this worker process for its next tasks."""
+    store = sys.modules.setdefault("_tallyline_kept", types.ModuleType("_tallyline_kept")).__dict__
+    if name not in store:
+        store[name] = build()
+    return store[name]
