@@ -28,7 +28,7 @@ PASSES = 2
 #: Words of a block, shards of the output, documents of a hash bucket of a source.
 BLOCK = 128
 SHARDS = 64
-BUCKET = 50_000
+BUCKET = 2_000
 SEED = 20_240_801
 
 
@@ -142,10 +142,10 @@ def plan(sizes: DataFrame, share: float = SHARE, passes: int = PASSES, block: in
     drawn = spark.createDataFrame(runs, "source_index int, shard int, base long, slots long, blocks long")
     step = 1 << 16
     drawn = drawn.select("source_index", "shard", "blocks", (F.col("base") + F.col("slots")).alias("stop"), F.explode(F.sequence(F.col("base"), F.col("base") + F.col("slots") - 1, F.lit(step))).alias("begin"))
-    return docs.drop("bucket"), cutting, _slots(drawn, step, seed)
+    return docs.drop("bucket"), cutting, _slots(drawn, step, seed, min(4096, max(8, sum(slots) >> 17)))
 
 
-def _slots(drawn: DataFrame, step: int, seed: int) -> DataFrame:
+def _slots(drawn: DataFrame, step: int, seed: int, tasks: int) -> DataFrame:
     """Slots of every run of at most ``step`` (``source_index, shard, blocks, stop, begin``), as blocks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,13 +158,13 @@ def _slots(drawn: DataFrame, step: int, seed: int) -> DataFrame:
                 got, times = np.unique(permuted(index, size, key), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(got), r["source_index"], dtype=np.int32)), pa.array(got), pa.array(np.full(len(got), r["shard"], dtype=np.int32)), pa.array(times.astype(np.int64))], names=["source_index", "block", "shard", "times"])
 
-    return drawn.repartition(F.xxhash64("source_index", "begin")).mapInArrow(run, "source_index int, block long, shard int, times long")
+    return drawn.repartition(tasks, F.xxhash64("source_index", "shard", "begin")).mapInArrow(run, "source_index int, block long, shard int, times long")
 
 
 def taken(pieces: DataFrame, slots: DataFrame) -> DataFrame:
     """Pieces joined with their blocks' slots by index: ``row, start, length, times`` (at least 1)."""
     often = slots.groupBy("source_index", "block").agg(F.sum("times").alias("times"))
-    return pieces.join(often, ["source_index", "block"]).select("row", "start", "length", "times")
+    return pieces.join(often.hint("merge"), ["source_index", "block"]).select("row", "start", "length", "times")
 
 
 def rows(docs: DataFrame, key: str) -> DataFrame:

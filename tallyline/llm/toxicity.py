@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyline.llm.common import pieces
+from tallyline.llm.common import cut, pieces
 
 #: Labelled rows to learn from at most; entries of the token table at most (by significance).
 ROWS = 20_000
@@ -119,7 +119,9 @@ def train(sample: DataFrame) -> Model:
                 yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), *(pa.array([s[n] for n in names], pa.int64()) for s in sides)], names=["token", "clean", "toxic"])
 
     counts = sample.where("part > 0").mapInArrow(count, "token string, clean long, toxic long").groupBy("token").agg(F.sum("clean").cast("double").alias("c"), F.sum("toxic").cast("double").alias("t"))
-    counts = counts.crossJoin(F.broadcast(counts.agg(F.sum("c").alias("nc"), F.sum("t").alias("nt"))))  # one row
+    counts = cut(counts)
+    total = counts.agg(F.coalesce(F.sum("c"), F.lit(0.0)).alias("c"), F.coalesce(F.sum("t"), F.lit(0.0)).alias("t")).first()
+    counts = counts.withColumns({"nc": F.lit(total["c"]), "nt": F.lit(total["t"])})
     prior = FLOOR + F.lit(PRIOR) * (F.col("c") + F.col("t")) / (F.col("nc") + F.col("nt"))
     t, c = F.col("t") + prior, F.col("c") + prior
     odds = F.log(t / (F.col("nt") + PRIOR - t)) - F.log(c / (F.col("nc") + PRIOR - c))
