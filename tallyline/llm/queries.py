@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm import bpe, media, mixing, quality, toxicity
+from tallyline.llm import bpe, chunking, licenses, media, mixing, quality, toxicity
 from tallyline.llm.common import table
 from tallyline.llm.training import fold, labelled
 
@@ -44,6 +44,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"), F.size("passages").alias("n_passages"))
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunking.passages(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str, rank_file: str | None = None) -> DataFrame:
     import public_tokenizers
 
@@ -51,12 +55,18 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str, rank_file: str | None = None)
     return bpe.round_trip(table(spark, sf_dir, "documents"), "doc_id", "text", vocabulary, public_tokenizers.PATTERN)
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_classifier": op2_quality_classifier,
     "op3_media_columns": op3_media_columns,
     "op4_mixing_sources": op4_mixing_sources,
     "op5_toxicity": op5_toxicity,
+    "op6_substring_dedup": op6_substring_dedup,
     "op8_byte_bpe": op8_byte_bpe,
+    "op10_license_scan": op10_license_scan,
 }
 
 ORACLE_SQL: dict[str, str] = {}
