@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm import bpe, chunking, licenses, media, mixing, quality, toxicity
+from tallyline.llm import bpe, chunking, knn, licenses, media, mixing, quality, toxicity
 from tallyline.llm.common import table
 from tallyline.llm.training import fold, labelled
 
@@ -15,6 +15,10 @@ from tallyline.llm.training import fold, labelled
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
 
 
+def op1_voronoi_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return knn.join(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", F.col("vec_id") % 100 == 0)
+
+
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, held = table(spark, sf_dir, "documents"), fold("doc_id", 5) == 0
     sample = labelled(docs, table(spark, sf_dir, "labels"), "doc_id", "text", "quality", quality.ROWS, ~held)
@@ -60,6 +64,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_voronoi_knn": op1_voronoi_knn,
     "op2_quality_classifier": op2_quality_classifier,
     "op3_media_columns": op3_media_columns,
     "op4_mixing_sources": op4_mixing_sources,
@@ -69,4 +74,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_license_scan": op10_license_scan,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+OP1_SQL = """
+WITH e AS (
+  SELECT vec_id, list_transform(embedding, x -> floor(1024 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR isnan(x) OR isinf(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, d.vec_id, CAST(list_inner_product(q.v, d.v) AS BIGINT) AS score
+  FROM e q JOIN e d ON d.vec_id <> q.vec_id AND len(q.v) = len(d.v) WHERE q.vec_id % 100 = 0),
+r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op1_voronoi_knn": OP1_SQL,
+}
