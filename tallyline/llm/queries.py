@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm import bpe, chunking, knn, licenses, media, mixing, quality, toxicity
+from tallyline.llm import bpe, chunking, knn, licenses, media, mixing, ngram_join, quality, toxicity
 from tallyline.llm.common import table
 from tallyline.llm.training import fold, labelled
 
@@ -52,6 +52,10 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunking.passages(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
+def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(table(spark, sf_dir, "documents"), size=3, percent=90)
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str, rank_file: str | None = None) -> DataFrame:
     import public_tokenizers
 
@@ -70,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_mixing_sources": op4_mixing_sources,
     "op5_toxicity": op5_toxicity,
     "op6_substring_dedup": op6_substring_dedup,
+    "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
     "op8_byte_bpe": op8_byte_bpe,
     "op10_license_scan": op10_license_scan,
 }
