@@ -10,14 +10,15 @@ Frequencies come from a table of fixed size with hashed entries, counted over al
 order keeps the join exact; the table only has to tell common n-grams from rare ones.
 
 Large groups of near copies aren't joined pair by pair. Members of a posting list are first compared
-with a few centres of the list, and components are formed; then only pairs of different components are
-compared, all of them. Pairs inside a component can't change the components.
+with three centres of the list, and components are formed; then only pairs of different components are
+compared, all that may be similar. Pairs inside a component can't change the components.
 
 N-grams are 64-bit hashes, classes 64-bit digests of the sorted sets.
 """
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
 
@@ -36,9 +37,6 @@ PART_BITS = 16
 FILTER_BITS = 23
 #: Ranges of the hash that the suffix filter counts.
 RANGES = 64
-#: Rounds with further centres, while pairs of different components outnumber the entries so often.
-CENTRE_ROUNDS = 6
-CROWDED = 4
 MEMO_ENTRIES = 300_000
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -139,45 +137,39 @@ def described(docs: DataFrame, key: str, text: str, size: int, percent: int, bit
     return docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(run, f"key {kind}, cls long, n long, hist binary, prefix array<long>")
 
 
-def _sets(docs: DataFrame, text: str, size: int, wanted: DataFrame) -> DataFrame:
-    """``cls, grams`` of the wanted classes (``cls``).
+def _sets(docs: DataFrame, key: str, text: str, size: int, wanted: DataFrame) -> DataFrame:
+    """``cls, grams`` of the wanted classes (``cls`` and ``rep``, a key that has this class).
 
-    A filter of fixed size with a bit for each wanted class goes to all tasks, so that texts of other
-    classes drop out before the shuffle; the join then removes what passed by chance.
+    A filter of fixed size with a bit for each wanted key goes to all tasks, so that most other texts
+    drop out before they are read closely; a join then removes what passed by chance.
     """
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.zeros(1 << FILTER_BITS, dtype=bool)
         for batch in batches:
-            bits[batch.column("cls").to_numpy() & ((1 << FILTER_BITS) - 1)] = True
+            bits[batch.column("h").to_numpy() & ((1 << FILTER_BITS) - 1)] = True
         if bits.any():
             yield pa.RecordBatch.from_arrays([pa.array([zlib.compress(np.packbits(bits).tobytes(), 1)], pa.binary())], names=["bits"])
 
     bits = np.zeros(1 << (FILTER_BITS - 3), dtype=np.uint8)
-    for r in wanted.coalesce(64).mapInArrow(mark, "bits binary").toLocalIterator():  # 1 MB each, 64 at most
+    for r in wanted.select(F.xxhash64("rep").alias("h")).coalesce(64).mapInArrow(mark, "bits binary").toLocalIterator():  # 1 MB each, 64 at most
         bits |= np.frombuffer(zlib.decompress(r["bits"]), dtype=np.uint8)
     shared = docs.sparkSession.sparkContext.broadcast(bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, allowed, seen = _Words(), np.unpackbits(shared.value), set()
+        words, allowed = _Words(), np.unpackbits(shared.value)
         for batch in batches:
-            for part in pieces(batch, "text"):
-                classes, grams = [], []
-                for value in part.column("text").to_pylist():
-                    s = shingles(value, size, words)
-                    if len(s):
-                        cls = xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63)
-                        if allowed[cls & ((1 << FILTER_BITS) - 1)] and cls not in seen:
-                            seen.add(cls)
-                            classes.append(cls)
-                            grams.append(s.tobytes())
-                yield pa.RecordBatch.from_arrays([pa.array(classes, pa.int64()), pa.array(grams, pa.binary())], names=["cls", "grams"])
+            hit = allowed[batch.column("h").to_numpy() & ((1 << FILTER_BITS) - 1)].astype(bool)
+            for part in pieces(batch.filter(pa.array(hit)), "text"):
+                grams = [g for value in part.column("text").to_pylist() if len(g := shingles(value, size, words))]
+                classes = [xxhash.xxh3_64_intdigest(g.tobytes()) - (1 << 63) for g in grams]
+                yield pa.RecordBatch.from_arrays([pa.array(classes, pa.int64()), pa.array([g.tobytes() for g in grams], pa.binary())], names=["cls", "grams"])
 
-    found = docs.select(F.col(text).alias("text")).where("text is not null").mapInArrow(run, "cls long, grams binary")
-    return found.join(wanted, "cls", "left_semi").dropDuplicates(["cls"])
+    found = docs.select(F.xxhash64(key).alias("h"), F.col(text).alias("text")).where("text is not null").mapInArrow(run, "cls long, grams binary")
+    return found.join(wanted.select("cls"), "cls", "left_semi").dropDuplicates(["cls"])
 
 
-def _verified(docs: DataFrame, text: str, size: int, percent: int, pairs: DataFrame, classes: DataFrame) -> DataFrame:
+def _verified(docs: DataFrame, key: str, text: str, size: int, percent: int, pairs: DataFrame, classes: DataFrame) -> DataFrame:
     """The pairs ``a, b`` of classes at or above the threshold, each checked once."""
     facts = classes.select("cls", "n", "hist")
     left, right = (facts.select(F.col("cls").alias(c), F.col("n").alias(f"n_{c}"), F.col("hist").alias(f"hist_{c}")) for c in "ab")
@@ -194,7 +186,7 @@ def _verified(docs: DataFrame, text: str, size: int, percent: int, pairs: DataFr
 
     likely = cut(full.mapInArrow(suffix, "a long, b long"))
     wanted = likely.select(F.col("a").alias("cls")).unionByName(likely.select(F.col("b").alias("cls"))).distinct()
-    sets = _sets(docs, text, size, wanted)
+    sets = _sets(docs, key, text, size, cut(wanted.join(classes.select("cls", "rep"), "cls")))
     both = likely.join(sets.select(F.col("cls").alias("b"), F.col("grams").alias("grams_b")).hint("merge"), "b").join(sets.select(F.col("cls").alias("a"), F.col("grams").alias("grams_a")).hint("merge"), "a")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -224,14 +216,18 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 3
     """
     every = cut(described(docs, key, text, size, percent))
     classes = cut(every.where("cls is not null").groupBy("cls").agg(F.min("key").alias("rep"), F.first("n").alias("n"), F.first("hist").alias("hist")))
-    raw = every.where("cls is not null").select("cls", "n", F.posexplode("prefix").alias("pos", "gram"))
-    ends = raw.groupBy("gram").agg(F.min(F.struct("n", "cls", "pos")).alias("low"), F.max(F.struct("n", "cls", "pos")).alias("high"), F.min(F.struct(F.xxhash64("cls").alias("h"), "n", "cls", "pos")).alias("any")).where("low.cls <> high.cls")
-    entries = cut(raw.join(ends.hint("merge"), "gram").select("gram", "cls", "n", "pos", "low", "high", F.struct("any.n", "any.cls", "any.pos").alias("any")).distinct())
+    band = F.floor(F.log("n") / math.log(100 / percent)).cast("int")  # sizes in proportion differ by 1 at most
+    raw = every.where("cls is not null").select("cls", "n", band.alias("band"), F.posexplode("prefix").alias("pos", "gram"))
+    shared = raw.groupBy("gram").agg(F.min("cls").alias("least"), F.max("cls").alias("most")).where("least <> most").select("gram")
+    entries = cut(raw.join(shared.hint("merge"), "gram", "left_semi").distinct())
 
     def likely(n1, p1, n2, p2):
-        """Length and positional filter: sizes in proportion, and enough n-grams left behind the match."""
-        most = F.least(p1, p2) + 1 + F.least(n1 - p1 - 1, n2 - p2 - 1)
-        return (F.least(n1, n2) * 100 >= F.greatest(n1, n2) * percent) & (most * (100 + percent) >= (n1 + n2) * percent)
+        """Length and positional filter: sizes in proportion, and enough n-grams from the match on.
+
+        The first n-gram that two sets share has none in common before it; later ones have less behind
+        them. So a similar pair passes at its first one.
+        """
+        return (F.least(n1, n2) * 100 >= F.greatest(n1, n2) * percent) & (F.least(n1 - p1, n2 - p2) * (100 + percent) >= (n1 + n2) * percent)
 
     def with_centre(rows: DataFrame, centres: list[str]) -> DataFrame:
         """Pairs of a list's members with its centres, once."""
@@ -239,32 +235,23 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 3
         found = found.where(likely(F.col("n"), F.col("pos"), F.col("c.n"), F.col("c.pos")))
         return found.select(F.col("c.cls").alias("a"), F.col("cls").alias("b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
-    links = cut(_verified(docs, text, size, percent, with_centre(entries, ["low", "high", "any"]), classes))
-    for turn in range(CENTRE_ROUNDS + 1):
-        groups = cut(components(links))
-        named = entries.select("gram", "cls", "n", "pos").join(groups.select(F.col("node").alias("cls"), "component"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
-        mixed = named.groupBy("gram").agg(F.min("component").alias("c1"), F.max("component").alias("c2")).where("c1 <> c2").select("gram")
-        named = cut(named.join(mixed.hint("merge"), "gram", "left_semi"))
-        by_group = named.groupBy("gram", "component").agg(F.count(F.lit(1)).alias("m"))
-        by_gram = by_group.groupBy("gram").agg(F.sum("m").alias("m"), F.sum(F.col("m") * F.col("m")).alias("mm"))
-        size_ = by_gram.agg(F.coalesce(F.sum("m"), F.lit(0)).alias("entries"), F.coalesce(F.sum((F.col("m") * F.col("m") - F.col("mm")) / 2), F.lit(0)).alias("pairs")).first()
-        if not size_["entries"]:
-            break
-        last = turn == CENTRE_ROUNDS or size_["pairs"] <= CROWDED * size_["entries"]
-        if last:
-            one, two = (by_group.select("gram", F.col("component").alias(c)) for c in ("c1", "c2"))
-            met = one.join(two.hint("merge"), "gram").where("c1 < c2")
-            a, b = (named.select("gram", F.col("component").alias(c), *(F.col(x).alias(f"{x}_{c}") for x in ("cls", "n", "pos"))) for c in ("c1", "c2"))
-            rows = met.join(a.hint("merge"), ["gram", "c1"]).join(b.hint("merge"), ["gram", "c2"]).where(likely(F.col("n_c1"), F.col("pos_c1"), F.col("n_c2"), F.col("pos_c2")))
-            pairs = rows.select(F.least("cls_c1", "cls_c2").alias("a"), F.greatest("cls_c1", "cls_c2").alias("b")).distinct()
-        else:
-            centre = named.groupBy("gram").agg(F.min(F.struct(F.xxhash64("cls", F.lit(turn)).alias("h"), "n", "cls", "pos", "component")).alias("c"))
-            rows = named.join(centre.hint("merge"), "gram").where("component <> c.component")
-            pairs = with_centre(rows, ["c"])
-        links = cut(links.unionByName(_verified(docs, text, size, percent, pairs, classes)))
-        if last:
-            groups = cut(components(links))
-            break
+    ends = entries.groupBy("gram", "band").agg(F.min(F.struct("pos", "n", "cls")).alias("low"), F.max(F.struct("n", "cls", "pos")).alias("high"), F.min(F.struct(F.xxhash64("cls").alias("h"), "pos", "n", "cls")).alias("any")).where("low.cls <> high.cls")
+    central = entries.join(ends.hint("merge"), ["gram", "band"]).withColumns({c: F.struct(f"{c}.pos", f"{c}.n", f"{c}.cls") for c in ("high", "any")})
+    links = cut(_verified(docs, key, text, size, percent, with_centre(central, ["low", "high", "any"]), classes))
+    groups = cut(components(links))
+
+    named = entries.join(groups.select(F.col("node").alias("cls"), "component"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
+    mixed = named.groupBy("gram").agg(F.min("component").alias("c1"), F.max("component").alias("c2")).where("c1 <> c2").select("gram")
+    named = cut(named.join(mixed.hint("merge"), "gram", "left_semi"))
+    by_group = named.groupBy("gram", "band", "component").agg(F.max(F.col("n") - F.col("pos")).alias("rest"), F.min("n").alias("n"))
+    one = by_group.select("gram", F.col("band").alias("b1"), F.col("component").alias("c1"), F.col("rest").alias("r1"), F.col("n").alias("n1"), F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("b2"))
+    two = by_group.select("gram", F.col("band").alias("b2"), F.col("component").alias("c2"), F.col("rest").alias("r2"), F.col("n").alias("n2"))
+    far = F.least("r1", "r2") * (100 + percent) >= (F.col("n1") + F.col("n2")) * percent  # some two members may pass
+    met = one.join(two.hint("merge"), ["gram", "b2"]).where((F.col("c1") < F.col("c2")) & far).select("gram", "b1", "c1", "b2", "c2")
+    first, second = (named.select("gram", F.col("band").alias(f"b{i}"), F.col("component").alias(f"c{i}"), *(F.col(x).alias(f"{x}_c{i}") for x in ("cls", "n", "pos"))) for i in (1, 2))
+    rows = met.join(first.hint("merge"), ["gram", "b1", "c1"]).join(second.hint("merge"), ["gram", "b2", "c2"]).where(likely(F.col("n_c1"), F.col("pos_c1"), F.col("n_c2"), F.col("pos_c2")))
+    pairs = rows.select(F.least("cls_c1", "cls_c2").alias("a"), F.greatest("cls_c1", "cls_c2").alias("b")).distinct()
+    groups = cut(components(links.unionByName(_verified(docs, key, text, size, percent, pairs, classes))))
     member = classes.select("cls", "rep").join(groups.select(F.col("node").alias("cls"), "component"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
     smallest = member.groupBy("component").agg(F.min("rep").alias("component_id"))
     named = member.join(smallest, "component").select("cls", "component_id")
