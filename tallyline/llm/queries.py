@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm import bpe, chunking, knn, licenses, media, mixing, ngram_join, quality, toxicity
+from tallyline.llm import bpe, chunking, knn, licenses, line_dedup, media, mixing, ngram_join, quality, toxicity
 from tallyline.llm.common import table
 from tallyline.llm.training import fold, labelled
 
@@ -63,6 +63,10 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str, rank_file: str | None = None)
     return bpe.round_trip(table(spark, sf_dir, "documents"), "doc_id", "text", vocabulary, public_tokenizers.PATTERN)
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.report(table(spark, sf_dir, "documents"))
+
+
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"), "doc_id", "text")
 
@@ -76,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_substring_dedup": op6_substring_dedup,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
     "op8_byte_bpe": op8_byte_bpe,
+    "op9_line_dedup": op9_line_dedup,
     "op10_license_scan": op10_license_scan,
 }
 
