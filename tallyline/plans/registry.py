@@ -1,4 +1,99 @@
 """Queries of the engine's own operators and the SQL that checks them."""
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tallyline.operators import features, rules
+from tallyline.sources.derived import DERIVED_SQL, derived_bets
+
+MEANS = ["mean_betting_amount", "mean_price", "pct_racing", "pct_cash", "pct_return"]
+
+
+def _annotated(spark, sf_dir, mode="batch"):
+    return rules.annotate(derived_bets(spark, sf_dir), mode=mode)
+
+
+def _features(n):
+    def query(spark, sf_dir):
+        found = features.build_features(rules.valid(_annotated(spark, sf_dir)), n)
+        return found.withColumns({c: F.round(c, 6) for c in MEANS})
+
+    return query
+
+
+QUERIES = {
+    "bronze_projection": lambda s, d: rules.project(derived_bets(s, d)),
+    "annotated_errors": lambda s, d: _annotated(s, d).select("source_row_number", F.array_join("errors", "|").alias("validation_errors")),
+    "valid_bets": lambda s, d: rules.valid(_annotated(s, d)),
+    "invalid_bets": lambda s, d: rules.invalid(_annotated(s, d)),
+    "failure_counts": lambda s, d: rules.failure_counts(_annotated(s, d)),
+    "failures_ranked": lambda s, d: rules.failure_counts(_annotated(s, d)).orderBy(F.desc("failures"), "rule"),
+    "validation_totals": lambda s, d: rules.totals(_annotated(s, d)),
+    "first_occurrence": lambda s, d: rules.first_rows(rules.project(derived_bets(s, d))),
+    "sequence_gaps": lambda s, d: rules.gaps(rules._parsed(rules.project(derived_bets(s, d)))),
+    "customer_features_n20": _features(20),
+    "customer_features_n10": _features(10),
+    "incomplete_first_n": lambda s, d: features.completeness(_features(20)(s, d), 20),
+}
+
+_NUM = r"'^\s*[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?\s*$'"
+_PARSED = f"""
+WITH raw AS ({DERIVED_SQL}),
+b AS (SELECT *,
+  CASE WHEN regexp_matches(bet_id, '^\\s*[+-]?\\d+\\s*$') THEN TRY_CAST(bet_id AS BIGINT) END AS p_id,
+  CASE WHEN regexp_matches(bet_num, '^\\s*[+-]?\\d+\\s*$') THEN TRY_CAST(bet_num AS BIGINT) END AS p_num,
+  TRY_CAST(bet_datetime AS TIMESTAMP) AS p_ts,
+  CASE WHEN regexp_matches(betting_amount, {_NUM}) THEN TRY_CAST(betting_amount AS DECIMAL(18,8)) END AS a,
+  CASE WHEN regexp_matches(price, {_NUM}) THEN TRY_CAST(price AS DECIMAL(18,8)) END AS q,
+  CASE WHEN regexp_matches(payout, {_NUM}) THEN TRY_CAST(payout AS DECIMAL(18,8)) END AS o,
+  CASE WHEN regexp_matches(return_for_entain, {_NUM}) THEN TRY_CAST(return_for_entain AS DECIMAL(18,8)) END AS r FROM raw),
+firsts AS (SELECT bet_id AS fid, min(source_row_number) AS first_row, count(*) AS occurrences FROM b WHERE bet_id <> '' GROUP BY 1 HAVING count(*) > 1),
+gaps AS (SELECT customer_id AS gid, count(DISTINCT p_num) AS distinct_nums, max(p_num) AS last_num FROM b WHERE customer_id <> '' AND p_num > 0 GROUP BY 1 HAVING count(DISTINCT p_num) <> max(p_num)),
+w AS (SELECT b.*, firsts.first_row, gaps.gid, min(source_row_number) OVER (PARTITION BY customer_id, p_num) AS first_same,
+  CASE WHEN bet_result = 'no-return' THEN 0 WHEN bet_result = 'return' AND stake_type = 'cash' THEN CAST(a AS DOUBLE) * CAST(q AS DOUBLE) WHEN bet_result = 'return' AND stake_type = 'bonus' THEN CAST(a AS DOUBLE) * (CAST(q AS DOUBLE) - 1) END AS xo,
+  CASE WHEN bet_result = 'no-return' AND stake_type = 'cash' THEN CAST(a AS DOUBLE) WHEN bet_result = 'no-return' AND stake_type = 'bonus' THEN 0 WHEN bet_result = 'return' AND stake_type = 'cash' THEN CAST(a AS DOUBLE) - CAST(o AS DOUBLE) WHEN bet_result = 'return' AND stake_type = 'bonus' THEN -CAST(o AS DOUBLE) END AS xr
+  FROM b LEFT JOIN firsts ON fid = bet_id LEFT JOIN gaps ON gid = customer_id),
+x AS (SELECT *, list_sort(list_filter([
+  {", ".join(f"CASE WHEN {c} = '' THEN 'missing_value:{c}' END" for c in rules.COLUMNS)},
+  CASE WHEN bet_id <> '' AND p_id IS NULL THEN 'bet_id_integer' END,
+  CASE WHEN customer_id <> '' AND NOT regexp_matches(replace(customer_id, '-', ''), '^[0-9a-fA-F]{{32}}$') THEN 'customer_id_uuid' END,
+  CASE WHEN bet_datetime <> '' AND p_ts IS NULL THEN 'bet_datetime_parseable' END,
+  CASE WHEN bet_num <> '' AND p_num IS NULL THEN 'bet_num_integer' END, CASE WHEN p_num < 1 THEN 'bet_num_positive' END,
+  CASE WHEN betting_amount <> '' AND a IS NULL THEN 'betting_amount_numeric' END, CASE WHEN a <= 0 THEN 'betting_amount_gt_0' END,
+  CASE WHEN price <> '' AND q IS NULL THEN 'price_numeric' END, CASE WHEN q <= 1 THEN 'price_gt_1' END,
+  CASE WHEN payout <> '' AND o IS NULL THEN 'payout_numeric' END, CASE WHEN return_for_entain <> '' AND r IS NULL THEN 'return_for_entain_numeric' END,
+  CASE WHEN category NOT IN ('sports', 'racing') THEN 'category_domain' END, CASE WHEN stake_type NOT IN ('cash', 'bonus') THEN 'stake_type_domain' END, CASE WHEN bet_result NOT IN ('return', 'no-return') THEN 'bet_result_domain' END,
+  CASE WHEN a IS NOT NULL AND q IS NOT NULL AND o IS NOT NULL AND xo IS NULL THEN 'payout_rule_not_evaluable' END,
+  CASE WHEN a IS NOT NULL AND q IS NOT NULL AND o IS NOT NULL AND abs(o - xo) > 0.00001 THEN 'payout_formula' END,
+  CASE WHEN a IS NOT NULL AND o IS NOT NULL AND r IS NOT NULL AND xr IS NULL THEN 'return_for_entain_rule_not_evaluable' END,
+  CASE WHEN a IS NOT NULL AND o IS NOT NULL AND r IS NOT NULL AND abs(r - xr) > 0.00001 THEN 'return_for_entain_formula' END,
+  CASE WHEN first_row <> source_row_number THEN 'bet_id_unique' END,
+  CASE WHEN customer_id <> '' AND p_num IS NOT NULL AND first_same <> source_row_number THEN 'customer_bet_num_unique' END,
+  CASE WHEN gid IS NOT NULL AND p_num > 0 THEN 'customer_bet_num_sequence' END], lambda e: e IS NOT NULL)) AS errors FROM w)
+"""
+_COUNTS = _PARSED + "SELECT rule, CAST(count(*) AS BIGINT) AS failures FROM (SELECT unnest(errors) AS rule FROM x) GROUP BY rule"
+
+
+def _features_sql(n: int) -> str:
+    total = lambda c: f"CAST(sum(CAST({c} AS DECIMAL(30,8))) AS DOUBLE)"
+    return _PARSED + f"""SELECT customer_id, arg_min(p_ts, (p_num, p_ts, p_id)) AS first_bet_datetime, arg_min(p_ts, (p_num, p_ts, p_id)) FILTER (WHERE p_num = {n}) AS bet_{n}_datetime,
+  CAST(count(*) AS BIGINT) AS bets_used, {total("a")} AS total_betting_amount, round({total("a")} / count(*), 6) AS mean_betting_amount, round({total("q")} / count(*), 6) AS mean_price,
+  round(count(*) FILTER (WHERE category = 'racing') / count(*), 6) AS pct_racing, round(count(*) FILTER (WHERE stake_type = 'cash') / count(*), 6) AS pct_cash, round(count(*) FILTER (WHERE bet_result = 'return') / count(*), 6) AS pct_return,
+  {total("o")} AS total_payout, {total("r")} AS total_return_for_entain FROM x WHERE len(errors) = 0 AND p_num <= {n} GROUP BY customer_id"""
+
+
+ORACLE_SQL = {
+    "bronze_projection": DERIVED_SQL,
+    "annotated_errors": _PARSED + "SELECT source_row_number, array_to_string(errors, '|') AS validation_errors FROM x",
+    "valid_bets": _PARSED + "SELECT p_id AS bet_id, customer_id, p_ts AS bet_datetime, p_num AS bet_num, CAST(a AS DOUBLE) AS betting_amount, CAST(q AS DOUBLE) AS price, category, stake_type, bet_result, CAST(o AS DOUBLE) AS payout, CAST(r AS DOUBLE) AS return_for_entain, source_row_number FROM x WHERE len(errors) = 0",
+    "invalid_bets": _PARSED + f"SELECT {', '.join(rules.COLUMNS)}, source_row_number, array_to_string(errors, '|') AS validation_errors FROM x WHERE len(errors) > 0",
+    "failure_counts": _COUNTS,
+    "failures_ranked": _COUNTS + " ORDER BY failures DESC, rule",
+    "validation_totals": _PARSED + "SELECT CAST(count(*) AS BIGINT) AS total_rows, CAST(count(*) FILTER (WHERE len(errors) = 0) AS BIGINT) AS valid_rows, CAST(count(*) FILTER (WHERE len(errors) > 0) AS BIGINT) AS invalid_rows FROM x",
+    "first_occurrence": _PARSED + "SELECT fid AS bet_id, first_row, CAST(occurrences AS BIGINT) AS occurrences FROM firsts",
+    "sequence_gaps": _PARSED + "SELECT gid AS customer_id, CAST(distinct_nums AS BIGINT) AS distinct_nums, last_num FROM gaps",
+    "customer_features_n20": _features_sql(20),
+    "customer_features_n10": _features_sql(10),
+    "incomplete_first_n": f"SELECT CAST(count(*) AS BIGINT) AS customers, CAST(count(*) FILTER (WHERE bets_used < 20) AS BIGINT) AS customers_with_incomplete_first_n FROM ({_features_sql(20)})",
+}
