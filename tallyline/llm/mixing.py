@@ -186,3 +186,29 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     documents, cutting, slots = plan(sizes.select("row", "source", "size"), **options)
     per_row = taken(cutting, slots).groupBy("row").agg(F.sum(F.col("length") * F.col("times")).alias("taken"))
     return documents.join(per_row, "row", "left").select(f"row.{key}", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+
+
+def materialise(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", length: str = "n_chars", **options) -> DataFrame:
+    """``docs`` as the mix takes them: a row for each pass that takes words of a document.
+
+    The first row holds the words of all blocks that are taken at least once, the second those taken
+    twice, and so on; whole documents keep their text as it is, of others the words of the blocks
+    stand with single blanks between. Documents of which nothing is taken have no row.
+    """
+    keyed = rows(docs.select(F.col(key), F.col(source).alias("source"), words(F.col(text)).alias("size")), key)
+    sizes = cut(keyed.select("row", "source", "size"))
+    _, cutting, slots = plan(sizes, **options)
+    got = taken(cutting, slots).groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", "length", "times"))).alias("blocks"))
+    # repeated rows of a key are numbered by source and size, as in ``rows``
+    again = Window.partitionBy(key).orderBy(source, "mix_size")
+    full = docs.withColumn("mix_size", words(F.col(text))).withColumn("mix_copy", F.row_number().over(again))
+    marked = full.join(got.select("row", "blocks").hint("merge"), F.struct(F.col(key), F.col("mix_copy").alias("copy")) == F.col("row"))
+    turns = marked.withColumn("mix_turn", F.explode(F.sequence(F.lit(1), F.array_max("blocks.times").cast("int"))))
+    turns = turns.withColumn("mix_blocks", F.filter("blocks", lambda b: b["times"] >= F.col("mix_turn")))
+    held = F.aggregate("mix_blocks", F.lit(0).cast("long"), lambda s, b: s + b["length"])
+    tokens = F.regexp_extract_all(F.col(text), F.lit(f"({WORD})"), F.lit(1))
+    some = F.array_join(F.flatten(F.transform("mix_blocks", lambda b: F.slice(tokens, (b["start"] + 1).cast("int"), b["length"].cast("int")))), " ")
+    out = turns.withColumn(text, F.when(held == F.col("mix_size"), F.col(text)).otherwise(some))
+    if length in docs.columns:
+        out = out.withColumn(length, F.length(text).cast(docs.schema[length].dataType))
+    return out.select(*docs.columns)

@@ -71,6 +71,12 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_voronoi_knn": op1_voronoi_knn,
     "op2_quality_classifier": op2_quality_classifier,
@@ -82,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_line_dedup": op9_line_dedup,
     "op10_license_scan": op10_license_scan,
+    "pipeline": pipeline,
 }
 
 OP1_SQL = """

@@ -199,3 +199,22 @@ def score(docs: DataFrame, key: str, text: str, model: Model) -> DataFrame:
 
     schema = f"`{key}` {kind}, score double, passages array<struct<start:int,end:int,score:double,expected:double>>"
     return docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(run, schema)
+
+
+def keep(docs: DataFrame, text: str, model: Model, threshold: float) -> DataFrame:
+    """The rows of ``docs`` that score below ``threshold``, unchanged and unshuffled."""
+    shared = docs.sparkSession.sparkContext.broadcast(vars(model))
+    at = docs.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = Model(**shared.value)
+        scores = _Scores(m.tokens)
+        for batch in batches:
+            low = []
+            for value in batch.column(at):
+                n, s = _scan(value.as_py() or "", scores)
+                x = m.bias + m.slope * _evidence(n, segments(s), m.rate, m.scale)
+                low.append(1 / (1 + math.exp(-max(-35.0, min(35.0, x)))) < threshold)
+            yield batch.filter(pa.array(low, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
