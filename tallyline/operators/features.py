@@ -6,6 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+#: Measures of a feature row, in order.
+MEASURES = ["bets_used", "total_betting_amount", "mean_betting_amount", "mean_price", "pct_racing", "pct_cash", "pct_return", "total_payout", "total_return_for_entain"]
+
+
 def build_features(valid: DataFrame, n: int = 20) -> DataFrame:
     """Features of valid bets with ``bet_num <= n``; later bets never fill up for missing ones."""
     if n < 1:

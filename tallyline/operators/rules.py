@@ -16,6 +16,8 @@ MONEY = ["betting_amount", "price", "payout", "return_for_entain"]
 CATEGORIES = ("sports", "racing")
 STAKES = ("cash", "bonus")
 RESULTS = ("return", "no-return")
+RAW_SCHEMA = ", ".join([*(f"{c} string" for c in COLUMNS), "source_row_number bigint"])
+VALID_TYPES = {"bet_id": "bigint", "customer_id": "string", "bet_datetime": "timestamp_ntz", "bet_num": "bigint", "betting_amount": "double", "price": "double", "category": "string", "stake_type": "string", "bet_result": "string", "payout": "double", "return_for_entain": "double", "source_row_number": "bigint"}
 
 
 @dataclass(frozen=True)
@@ -35,12 +37,12 @@ def _parsed(rows: DataFrame) -> DataFrame:
     return rows.withColumns({"p_id": integer(F.col("bet_id")), "p_num": integer(F.col("bet_num")), "p_ts": moment(F.col("bet_datetime"))} | {f"p_{c}": number(F.col(c)) for c in MONEY} | {f"d_{c}": F.when(numeric(F.col(c)), F.trim(c).try_cast("double")) for c in MONEY})
 
 
-def _off(actual: str, parts: list[tuple]) -> tuple:
+def _off(actual: str, parts: list[tuple], tolerance: Decimal) -> tuple:
     """Whether a formula can't be evaluated, and whether it is off, from (condition, decimal, double)."""
     exact, rough, known = F.lit(None).cast("decimal(38,16)"), F.lit(None).cast("double"), F.lit(False)
     for when, value, double in reversed(parts):
         exact, rough, known = F.when(when, value.cast("decimal(38,16)")).otherwise(exact), F.when(when, double).otherwise(rough), when | known
-    return known, F.coalesce(F.abs(F.col(f"p_{actual}").cast("decimal(38,16)") - exact) > F.lit(Decimal("0.00001")), F.abs(F.col(f"d_{actual}") - rough) > 1e-5)
+    return known, F.coalesce(F.abs(F.col(f"p_{actual}").cast("decimal(38,16)") - exact) > F.lit(tolerance), F.abs(F.col(f"d_{actual}") - rough) > float(tolerance))
 
 
 def row_errors(missing: list[str], cfg: RuleConfig, library: bool) -> list[tuple]:
@@ -58,10 +60,10 @@ def row_errors(missing: list[str], cfg: RuleConfig, library: bool) -> list[tuple
     won, lost = c("bet_result") == "return", c("bet_result") == "no-return"
     a, q, o = p("betting_amount"), p("price"), p("payout")
     da, dq, do = d("betting_amount"), d("price"), d("payout")
-    known, off = _off("payout", [(lost, F.lit(0), F.lit(0.0)), (won & cash, a * q, da * dq), (won & bonus, a * (q - 1), da * (dq - 1))])
+    known, off = _off("payout", [(lost, F.lit(0), F.lit(0.0)), (won & cash, a * q, da * dq), (won & bonus, a * (q - 1), da * (dq - 1))], cfg.tolerance)
     ready = da.isNotNull() & dq.isNotNull() & do.isNotNull() & has("stake_type") & has("bet_result")
     out += [("payout_rule_not_evaluable", ready & ~known), ("payout_formula", ready & known & off)]
-    known, off = _off("return_for_entain", [(lost & cash, a, da), (lost & bonus, F.lit(0), F.lit(0.0)), (won & cash, a - o, da - do), (won & bonus, -o, -do)])
+    known, off = _off("return_for_entain", [(lost & cash, a, da), (lost & bonus, F.lit(0), F.lit(0.0)), (won & cash, a - o, da - do), (won & bonus, -o, -do)], cfg.tolerance)
     ready = da.isNotNull() & do.isNotNull() & d("return_for_entain").isNotNull() & has("stake_type") & has("bet_result")
     return out + [("return_for_entain_rule_not_evaluable", ready & ~known), ("return_for_entain_formula", ready & known & off)]
 
@@ -77,15 +79,16 @@ def gaps(rows: DataFrame) -> DataFrame:
     return seen.where("distinct_nums <> last_num")
 
 
-def annotate(raw: DataFrame, cfg: RuleConfig = RuleConfig(), mode: str = "batch") -> DataFrame:
+def annotate(raw: DataFrame, cfg: RuleConfig = RuleConfig(), mode: str = "batch", columns: list[str] | None = None) -> DataFrame:
     """Rows with parsed columns and ``errors``, the sorted names of the rules that each breaks.
 
     ``batch`` flags later copies of a bet id or customer and number, and whole customers with a gap;
     ``library`` flags all copies and takes the first of its number rules only. Offenders are joined
-    back, so only repeated ids and customers with gaps move besides the rows.
+    back, so only repeated ids and customers with gaps move besides the rows. ``columns`` names those that
+    the source had, where ``raw`` is already filled up.
     """
     library = mode == "library"
-    missing = [x for x in COLUMNS if x not in raw.columns]
+    missing = [x for x in COLUMNS if x not in (raw.columns if columns is None else columns)]
     rows = _parsed(project(raw))
     checks = row_errors(missing, cfg, library)
     if library:

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallyline.operators import features, rules
+from tallyline.operators import features, partition, rules
 from tallyline.sources.derived import DERIVED_SQL, derived_bets
 
+BUCKETS = 7
+RULES = ["bet_id_integer", "customer_id_uuid", "bet_datetime_parseable", "bet_num_integer", "bet_num_positive", *(f"{c}_numeric" for c in rules.MONEY), "betting_amount_gt_0", "price_gt_1", "category_domain", "stake_type_domain", "bet_result_domain", "payout_rule_not_evaluable", "payout_formula", "return_for_entain_rule_not_evaluable", "return_for_entain_formula", "bet_id_unique", "customer_bet_num_unique", "customer_bet_num_sequence"]
 MEANS = ["mean_betting_amount", "mean_price", "pct_racing", "pct_cash", "pct_return"]
 
 
@@ -14,6 +16,20 @@ def _annotated(spark, sf_dir, mode="batch"):
     return rules.annotate(derived_bets(spark, sf_dir), mode=mode)
 
 
+def _library(spark, sf_dir):
+    return _annotated(spark, sf_dir, "library").select("source_row_number", F.array_join("errors", "|").alias("validation_errors"))
+
+
+def _buckets(spark, sf_dir):
+    rows = derived_bets(spark, sf_dir).select("customer_id", partition.bucket(F.col("customer_id"), BUCKETS).alias("bucket"))
+    per_customer = rows.groupBy("customer_id", "bucket").agg(F.count(F.lit(1)).alias("bets"))
+    return per_customer.groupBy("bucket").agg(F.count(F.lit(1)).alias("customers"), F.sum("bets").alias("bets"))
+
+
+def _flagged(rule):
+    return lambda s, d: _annotated(s, d).where(F.array_contains("errors", rule)).select("source_row_number")
+
+
 def _features(n):
     def query(spark, sf_dir):
         found = features.build_features(rules.valid(_annotated(spark, sf_dir)), n)
@@ -35,7 +51,11 @@ QUERIES = {
     "customer_features_n20": _features(20),
     "customer_features_n10": _features(10),
     "incomplete_first_n": lambda s, d: features.completeness(_features(20)(s, d), 20),
-}
+    "library_mode_errors": _library,
+    "hash_partition_counts": _buckets,
+    "source_row_resolution": lambda s, d: rules.project(derived_bets(s, d)).agg(F.min("source_row_number").alias("first_row"), F.max("source_row_number").alias("last_row"), F.count_distinct("source_row_number").alias("total_rows")),
+    "failure_combinations": lambda s, d: rules.invalid(_annotated(s, d)).groupBy("validation_errors").agg(F.count(F.lit(1)).alias("total_rows")),
+} | {f"rule_{rule}": _flagged(rule) for rule in RULES}
 
 _NUM = r"'^\s*[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?\s*$'"
 _PARSED = f"""
@@ -83,6 +103,21 @@ def _features_sql(n: int) -> str:
   {total("o")} AS total_payout, {total("r")} AS total_return_for_entain FROM x WHERE len(errors) = 0 AND p_num <= {n} GROUP BY customer_id"""
 
 
+#: The digest's eight words of eight digits, taken modulo the count one after the other.
+_DIGEST = "0"
+for _i in range(8):
+    _DIGEST = f"(({_DIGEST}) * 4294967296 + CAST('0x' || substr(sha256(customer_id), {1 + 8 * _i}, 8) AS BIGINT)) % {BUCKETS}"
+
+# of the rules across rows, library mode flags all copies, and the first number rule of a row only
+_ACROSS = ", ".join(f"'{r}'" for r in ("bet_id_unique", "customer_bet_num_unique", "customer_bet_num_sequence"))
+_LIBRARY = _PARSED + f""", y AS (SELECT *, count(*) OVER (PARTITION BY bet_id) AS copies, count(*) OVER (PARTITION BY customer_id, bet_num) AS twins FROM x),
+n AS (SELECT customer_id AS nid, count(DISTINCT p_num) AS nums, max(p_num) AS most, min(p_num) AS least FROM x GROUP BY 1),
+z AS (SELECT source_row_number, list_sort(list_concat(list_filter(errors, lambda e: e NOT IN ({_ACROSS})), list_filter([
+  CASE WHEN bet_id <> '' AND p_id IS NOT NULL AND copies > 1 THEN 'bet_id_unique' END,
+  CASE WHEN customer_id <> '' AND p_num >= 1 AND twins > 1 THEN 'customer_bet_num_unique'
+       WHEN customer_id <> '' AND p_num >= 1 AND bet_num = CAST(p_num AS VARCHAR) AND (nums <> most OR least < 1) THEN 'customer_bet_num_sequence' END], lambda e: e IS NOT NULL))) AS errors FROM y JOIN n ON nid = customer_id)
+SELECT source_row_number, array_to_string(errors, '|') AS validation_errors FROM z"""
+
 ORACLE_SQL = {
     "bronze_projection": DERIVED_SQL,
     "annotated_errors": _PARSED + "SELECT source_row_number, array_to_string(errors, '|') AS validation_errors FROM x",
@@ -96,4 +131,8 @@ ORACLE_SQL = {
     "customer_features_n20": _features_sql(20),
     "customer_features_n10": _features_sql(10),
     "incomplete_first_n": f"SELECT CAST(count(*) AS BIGINT) AS customers, CAST(count(*) FILTER (WHERE bets_used < 20) AS BIGINT) AS customers_with_incomplete_first_n FROM ({_features_sql(20)})",
-}
+    "library_mode_errors": _LIBRARY,
+    "hash_partition_counts": f"WITH raw AS ({DERIVED_SQL}), c AS (SELECT customer_id, {_DIGEST} AS bucket, count(*) AS bets FROM raw GROUP BY ALL) SELECT CAST(bucket AS INTEGER) AS bucket, CAST(count(*) AS BIGINT) AS customers, CAST(sum(bets) AS BIGINT) AS bets FROM c GROUP BY bucket",
+    "source_row_resolution": f"SELECT min(source_row_number) AS first_row, max(source_row_number) AS last_row, CAST(count(DISTINCT source_row_number) AS BIGINT) AS total_rows FROM ({DERIVED_SQL})",
+    "failure_combinations": _PARSED + "SELECT array_to_string(errors, '|') AS validation_errors, CAST(count(*) AS BIGINT) AS total_rows FROM x WHERE len(errors) > 0 GROUP BY 1",
+} | {f"rule_{rule}": _PARSED + f"SELECT source_row_number FROM x WHERE list_contains(errors, '{rule}')" for rule in RULES}
