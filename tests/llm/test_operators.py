@@ -129,3 +129,26 @@ def test_classifiers(spark):
     assert np.mean([scored[i] for i in range(0, 240, 4)]) > np.mean([scored[i] for i in range(1, 240, 4)])
     scores = np.array([1.0, -2, 3, -1, 2, -9, 1])
     assert toxicity.segments(scores) == [(0, 1, 1.0), (2, 5, 4.0), (6, 7, 1.0)]
+
+
+def test_line_dedup_verifies_every_candidate(spark, monkeypatch):
+    """Chains of edits, later rounds forced: no similar pair that shares a bucket may end in two components."""
+    monkeypatch.setattr(line_dedup, "CROWDED", 0)
+    random, rows = np.random.default_rng(5), []
+    for family in range(12):
+        line = list(prose(500 + family, 30))
+        for _ in range(16):
+            rows.append("".join(line))
+            at = random.integers(len(line))
+            line[at] = "#" if line[at] != "#" else "+"
+    found = line_dedup.lines(spark.createDataFrame([(i, x) for i, x in enumerate(rows)], "doc_id long, text string"), "doc_id", "text")
+    entries = line_dedup.buckets(line_dedup.signatures(found)).collect()
+    texts = {r["id"]: r["line"] for r in found.collect()}
+    sets = {i: {x[k : k + 8] for k in range(len(x) - 7)} for i, x in texts.items()}
+    members = {}
+    for r in entries:
+        members.setdefault(r["bucket"], set()).add(r["id"])
+    similar = {(a, b) for m in members.values() for a in m for b in m if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
+    got = {tuple(sorted((r["a"], r["b"]))) for r in line_dedup.links(found).collect()}
+    root = {r["node"]: r["component"] for r in components.components(spark.createDataFrame(list(got), "a long, b long")).collect()}
+    assert got <= similar and [p for p in similar if root.get(p[0], p[0]) != root.get(p[1], p[1])] == []
