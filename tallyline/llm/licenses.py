@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -98,6 +99,11 @@ def match(items: list[tuple[int, str]], rules: list[tuple[str, str, tuple[str, .
 
     At each identifier the longest rule wins, and its sentences belong to no other match.
     """
+    return [(licence, kind, at[0], at[-1]) for licence, kind, at in matched(items, rules, gap)]
+
+
+def matched(items: list[tuple[int, str]], rules: list[tuple[str, str, tuple[str, ...]]] = RULES, gap: int = GAP) -> list[tuple[str, str, list[int]]]:
+    """The same with the positions of all sentences of a match."""
     ordered, found, used = sorted(rules, key=lambda r: -len(r[2])), [], set()
     for i in range(len(items)):
         for licence, kind, wanted in ordered if i not in used else ():
@@ -111,7 +117,7 @@ def match(items: list[tuple[int, str]], rules: list[tuple[str, str, tuple[str, .
                 j += 1
             if len(at) == len(wanted):
                 used.update(at)
-                found.append((licence, kind, items[at[0]][0], items[at[-1]][0]))
+                found.append((licence, kind, [items[k][0] for k in at]))
                 break
     return found
 
@@ -119,28 +125,38 @@ def match(items: list[tuple[int, str]], rules: list[tuple[str, str, tuple[str, .
 def scan(docs: DataFrame, key: str, text: str) -> DataFrame:
     """Licence matches: ``key, licence, kind, wrapped, first_sentence, last_sentence``.
 
-    ``wrapped`` tells which way of cutting gave the match; one that both give is returned once, as not
-    wrapped. Documents without a match (also null and empty texts) have no row. Repeated rows give
+    ``wrapped`` tells which way of cutting gave the match. A match of wrapped lines is left out only if
+    one of the same licence and kind from the other way holds all its sentences, at the same places of
+    the text. Documents without a match (also null and empty texts) have no row. Repeated rows give
     their matches once.
     """
     table = known()
-    spark = docs.sparkSession
-    names = F.broadcast(spark.createDataFrame(sorted(table.items()), "sentence string, id string"))  # a fixed table
     kind = docs.schema[key].dataType.simpleString()
     body = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).where(F.lower("text").rlike("|".join(anchors(list(table)))))
     joined = F.regexp_replace("text", r"(?<![.!?:\n])[ \t]*\r?\n[ \t]*(?!\n)", " ")
-    ways = [body.select("key", F.xxhash64("text").alias("version"), F.lit(wrapped).alias("wrapped"), F.posexplode(F.split(value, ENDS)).alias("pos", "raw")) for wrapped, value in ((False, F.col("text")), (True, joined))]
-    sentences = ways[0].unionByName(ways[1]).withColumn("sentence", normalised_column(F.col("raw"))).where("length(sentence) > 0")
-    found = sentences.join(names, "sentence").groupBy("key", "version", "wrapped").agg(F.array_sort(F.collect_set(F.struct("pos", "id"))).alias("items"))
+    ways = {"plain": F.split("text", ENDS), "wrapped": F.split(joined, ENDS)}
+    hits = lambda way: F.filter(F.transform(way, lambda raw, i: F.struct(i.alias("pos"), normalised_column(raw).alias("sentence"))), lambda s: s["sentence"].isin(list(table)))
+    # a generator of one row, as a filter on its result is not moved below it: sentences are looked up once
+    looked = body.select("key", "text", F.explode(F.array(F.struct(*(hits(way).alias(name) for name, way in ways.items())))).alias("hits"))
+    # letters and digits of each piece: line ends and signs don't count, so both ways give a sentence one place
+    sizes = lambda way: F.transform(way, lambda raw: F.length(F.regexp_replace(F.lower(raw), "[^a-z0-9]+", "")))
+    found = looked.where("size(hits.plain) + size(hits.wrapped) > 0").select("key", "hits", F.struct(*(sizes(way).alias(name) for name, way in ways.items())).alias("sizes"))
+
+    def places(hits: list[dict], sizes: list[int]) -> list[tuple[str, str, int, int, set[int]]]:
+        starts = list(accumulate(sizes, initial=0))
+        return [(licence, kind, at[0], at[-1], {starts[i] for i in at}) for licence, kind, at in matched([(x["pos"], table[x["sentence"]]) for x in hits])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [(k, v, w, *m) for k, v, w, items in zip(*(batch.column(c).to_pylist() for c in ("key", "version", "wrapped", "items"))) for m in match([(x["pos"], x["id"]) for x in items])]
-            kinds = [batch.schema.field("key").type, pa.int64(), pa.bool_(), pa.string(), pa.string(), pa.int32(), pa.int32()]
+            rows = []
+            for k, hit, size in zip(*(batch.column(c).to_pylist() for c in ("key", "hits", "sizes"))):
+                plain, wrapped = (places(hit[way], size[way]) for way in ("plain", "wrapped"))
+                rows += [(k, *m[:2], False, *m[2:4]) for m in plain]
+                held: dict[tuple[str, str, int], set[int]] = {(*m[:2], start): m[4] for m in plain for start in m[4]}
+                rows += [(k, *m[:2], True, *m[2:4]) for m in wrapped if not m[4] <= held.get((*m[:2], min(m[4])), set())]
+            kinds = [batch.schema.field("key").type, pa.string(), pa.string(), pa.bool_(), pa.int32(), pa.int32()]
             columns = list(zip(*rows)) or [()] * len(kinds)
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=["key", "version", "wrapped", "licence", "kind", "first_sentence", "last_sentence"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=["key", "licence", "kind", "wrapped", "first_sentence", "last_sentence"])
 
-    matches = found.mapInArrow(run, f"key {kind}, version long, wrapped boolean, licence string, kind string, first_sentence int, last_sentence int")
-    both = matches.groupBy("key", "version", "licence", "kind").agg(F.min("wrapped").alias("least"), F.collect_list(F.struct("wrapped", "first_sentence", "last_sentence")).alias("all"))
-    kept = both.select("key", "licence", "kind", F.explode(F.filter("all", lambda m: m["wrapped"] == F.col("least"))).alias("m"))
-    return kept.select(F.col("key").alias(key), "licence", "kind", "m.wrapped", "m.first_sentence", "m.last_sentence").distinct()
+    matches = found.mapInArrow(run, f"key {kind}, licence string, kind string, wrapped boolean, first_sentence int, last_sentence int")
+    return matches.withColumnRenamed("key", key).distinct()

@@ -152,3 +152,15 @@ def test_line_dedup_verifies_every_candidate(spark, monkeypatch):
     got = {tuple(sorted((r["a"], r["b"]))) for r in line_dedup.links(found).collect()}
     root = {r["node"]: r["component"] for r in components.components(spark.createDataFrame(list(got), "a long, b long")).collect()}
     assert got <= similar and [p for p in similar if root.get(p[0], p[0]) != root.get(p[1], p[1])] == []
+
+
+def test_licenses_keeps_matches_of_wrapped_lines_elsewhere(spark):
+    line, broken = "Released under the MIT License.", "Released under\nthe MIT License."
+    apache = [licenses.SENTENCES[k][0] for k in ("apache2-head", "apache2-copy", "apache2-asis", "apache2-see")]
+    notice = "\n".join([apache[0], apache[1] + ".", apache[2].replace("law or agreed", "law or\nagreed"), apache[3]])
+    rows = [(1, f"Text.\n{line}\nMore text.\n{broken}\n"), (2, f"Text.\n{line}\nMore.\n"), (3, notice), (4, f"-----\n{line}\n")]
+    got = sorted(tuple(r) for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text").collect())
+    assert got == [
+        (1, "MIT", "reference", False, 1, 1), (1, "MIT", "reference", True, 3, 3), (2, "MIT", "reference", False, 1, 1),
+        (3, "Apache-2.0", "notice", False, 0, 1), (3, "Apache-2.0", "notice", True, 0, 3), (4, "MIT", "reference", False, 1, 1),
+    ]
