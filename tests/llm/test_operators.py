@@ -164,3 +164,14 @@ def test_licenses_keeps_matches_of_wrapped_lines_elsewhere(spark):
         (1, "MIT", "reference", False, 1, 1), (1, "MIT", "reference", True, 3, 3), (2, "MIT", "reference", False, 1, 1),
         (3, "Apache-2.0", "notice", False, 0, 1), (3, "Apache-2.0", "notice", True, 0, 3), (4, "MIT", "reference", False, 1, 1),
     ]
+
+
+def test_pipeline_keeps_one_row_of_each_group(spark):
+    import corpus_pipeline
+
+    near = prose(31).split()
+    near[59] = "edited"
+    rows = [(2, prose(31), "a"), (5, " ".join(near), "a"), (5, prose(32), "a"), (None, prose(33), "a"), (None, prose(34), None), (None, prose(31), "b"), (7, prose(35), "a"), (7, prose(35), "a"), (None, None, "a"), (8, "", "a"), (8, "", "a")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = [tuple(r) for r in corpus_pipeline.dedup_documents(spark, frame, "").collect()]
+    assert sorted(got, key=str) == sorted([rows[i] for i in (0, 2, 3, 4, 6, 8, 9, 10)], key=str)
