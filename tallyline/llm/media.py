@@ -93,7 +93,7 @@ class _Segments(HTMLParser):
         self.found: list[dict] = []
         self.run: list[str] = []
         self.hidden = 0
-        self.figure: list[dict] | None = None
+        self.figures: list[tuple[list[dict], list[dict]]] = []  # media and captions of the open figures
         self.caption: list[str] | None = None
 
     def flush(self) -> None:
@@ -102,6 +102,23 @@ class _Segments(HTMLParser):
         if text:
             self.found.append({"kind": "text", "text": text, "digest": None, "caption": None})
 
+    def end_caption(self) -> None:
+        """The caption so far becomes a text, until its figure has media."""
+        text, self.caption = " ".join("".join(self.caption or ()).split()), None
+        if text:
+            self.found.append({"kind": "text", "text": text, "digest": None, "caption": None})
+            if self.figures:
+                self.figures[-1][1].append(self.found[-1])
+
+    def end_figure(self) -> None:
+        self.end_caption()
+        media, captions = self.figures.pop()
+        if media and captions:
+            for item in media:
+                item["caption"] = " ".join(c["text"] for c in captions)
+            for caption in captions:
+                caption["kind"] = None  # no segment of its own
+
     def handle_starttag(self, tag, attrs):
         if tag in ("script", "style"):
             self.hidden += 1
@@ -112,15 +129,17 @@ class _Segments(HTMLParser):
             digest = source.removeprefix(REFERENCE).lower() if source.startswith(REFERENCE) else hashlib.sha256(source.encode()).hexdigest()
             item = {"kind": "media", "text": source, "digest": digest, "caption": values.get("alt") or None}
             self.found.append(item)
-            if self.figure is not None:
-                self.figure.append(item)
+            if self.figures:
+                self.figures[-1][0].append(item)
         elif tag == "figcaption":
             self.flush()
+            self.end_caption()
             self.caption = []
         elif tag in self.BREAKS:
             self.flush()
             if tag == "figure":
-                self.figure = []
+                self.end_caption()
+                self.figures.append(([], []))
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -129,14 +148,11 @@ class _Segments(HTMLParser):
         if tag in ("script", "style"):
             self.hidden = max(0, self.hidden - 1)
         elif tag == "figcaption" and self.caption is not None:
-            caption = " ".join("".join(self.caption).split()) or None
-            for item in self.figure or ():
-                item["caption"] = caption or item["caption"]
-            self.caption = None
+            self.end_caption()
         elif tag in self.BREAKS:
             self.flush()
-            if tag == "figure":
-                self.figure = None
+            if tag == "figure" and self.figures:
+                self.end_figure()
 
     def handle_data(self, data):
         if not self.hidden:
@@ -146,14 +162,18 @@ class _Segments(HTMLParser):
         self.feed(html)
         self.close()
         self.flush()
-        return [{"pos": i} | item for i, item in enumerate(self.found)]
+        self.end_caption()
+        while self.figures:
+            self.end_figure()
+        return [{"pos": i} | item for i, item in enumerate(x for x in self.found if x["kind"])]
 
 
 def sequences(df: DataFrame, key: str, html: str) -> DataFrame:
     """``key`` and ``segments``: the ordered text and media references of each row's HTML.
 
     Null or empty HTML gives an empty array. Repeated rows and null keys stay. Other columns are not
-    returned. A figure's caption goes to each of its media, else ``alt`` does.
+    returned. A figure's captions go to each of its media, else ``alt`` does; a caption without media
+    is a text. An open caption ends with its figure or the input.
     """
     kind = df.schema[key].dataType.simpleString()
 

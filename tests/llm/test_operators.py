@@ -175,3 +175,14 @@ def test_pipeline_keeps_one_row_of_each_group(spark):
     frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
     got = [tuple(r) for r in corpus_pipeline.dedup_documents(spark, frame, "").collect()]
     assert sorted(got, key=str) == sorted([rows[i] for i in (0, 2, 3, 4, 6, 8, 9, 10)], key=str)
+
+
+def test_media_captions_keep_their_text():
+    def found(html):
+        return [(s["pos"], s["kind"], s["text"], s["caption"]) for s in media._Segments().segments(html)]
+
+    assert found("<figure><pre>code</pre><figcaption>cap</figcaption></figure>x") == [(0, "text", "code", None), (1, "text", "cap", None), (2, "text", "x", None)]
+    assert found("<figcaption>alone</figcaption>x") == [(0, "text", "alone", None), (1, "text", "x", None)]
+    assert found("<figure><img src='a'><figcaption>open</figure>after") == [(0, "media", "a", "open"), (1, "text", "after", None)]
+    assert found("<figure><figcaption>first</figcaption><img src='a' alt='x'><figcaption>last</figcaption></figure>") == [(0, "media", "a", "first last")]
+    assert found("<figcaption>never closed <b>to the end") == [(0, "text", "never closed to the end", None)]
