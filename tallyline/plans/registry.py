@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import functions as F
 
 from tallyline.operators import features, partition, rules
+from tallyline.plans import runs
 from tallyline.sources.derived import DERIVED_SQL, derived_bets
+from tallyline.sources.store import Store
 
 BUCKETS = 7
 RULES = ["bet_id_integer", "customer_id_uuid", "bet_datetime_parseable", "bet_num_integer", "bet_num_positive", *(f"{c}_numeric" for c in rules.MONEY), "betting_amount_gt_0", "price_gt_1", "category_domain", "stake_type_domain", "bet_result_domain", "payout_rule_not_evaluable", "payout_formula", "return_for_entain_rule_not_evaluable", "return_for_entain_formula", "bet_id_unique", "customer_bet_num_unique", "customer_bet_num_sequence"]
@@ -33,11 +38,34 @@ def _flagged(rule):
 def _features(n):
     def query(spark, sf_dir):
         found = features.build_features(rules.valid(_annotated(spark, sf_dir)), n)
-        return found.withColumns({c: F.round(c, 6) for c in MEANS})
+        return found.withColumns({c: F.round(c, 12) for c in MEANS})
 
     return query
 
 
+def published(spark, sf_dir, partitions=4):
+    """A published run over the derived records as CSV; its manifest.
+
+    Files lie in the folder that the executors share; only a session without one (tests) gets a temporary one.
+    """
+    root = f"{spark.conf.get('spark.checkpoint.dir', None) or tempfile.mkdtemp(prefix='runs-')}/runs-{uuid.uuid4().hex}"
+    Store(spark).write_csv(derived_bets(spark, sf_dir).orderBy("source_row_number"), f"{root}/bets.csv", rules.COLUMNS)
+    return runs.build_features(spark, f"{root}/bets.csv", root, "r", runs.RunConfig(partition_count=partitions))
+
+
+def _published(table, *without):
+    return lambda s, d: s.read.parquet(published(s, d)["outputs"][f"{table}_dir"] + ("/customer_features" if table == "features" else "")).drop(*without)
+
+
+def _published_features(spark, sf_dir):
+    return _published("features", "feature_generated_at")(spark, sf_dir).withColumns({c: F.round(c, 12) for c in MEANS})
+
+
+def _published_report(spark, sf_dir):
+    counts = published(spark, sf_dir)["validation"]["failure_counts_by_rule"]
+    return spark.createDataFrame(list(counts.items()), "rule string, failures long")
+
+
 QUERIES = {
     "bronze_projection": lambda s, d: rules.project(derived_bets(s, d)),
     "annotated_errors": lambda s, d: _annotated(s, d).select("source_row_number", F.array_join("errors", "|").alias("validation_errors")),
@@ -55,6 +83,11 @@ QUERIES = {
     "hash_partition_counts": _buckets,
     "source_row_resolution": lambda s, d: rules.project(derived_bets(s, d)).agg(F.min("source_row_number").alias("first_row"), F.max("source_row_number").alias("last_row"), F.count_distinct("source_row_number").alias("total_rows")),
     "failure_combinations": lambda s, d: rules.invalid(_annotated(s, d)).groupBy("validation_errors").agg(F.count(F.lit(1)).alias("total_rows")),
+    "csv_raw_bets": _published("raw_bets"),
+    "csv_valid_bets": _published("valid_bets"),
+    "csv_invalid_bets": _published("invalid_bets", "validated_at"),
+    "csv_customer_features": _published_features,
+    "csv_failure_counts": _published_report,
 } | {f"rule_{rule}": _flagged(rule) for rule in RULES}
 
 _NUM = r"'^\s*[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?\s*$'"
@@ -76,13 +109,13 @@ w AS (SELECT b.*, firsts.first_row, gaps.gid, min(source_row_number) OVER (PARTI
   FROM b LEFT JOIN firsts ON fid = bet_id LEFT JOIN gaps ON gid = customer_id),
 x AS (SELECT *, list_sort(list_filter([
   {", ".join(f"CASE WHEN {c} = '' THEN 'missing_value:{c}' END" for c in rules.COLUMNS)},
-  CASE WHEN bet_id <> '' AND p_id IS NULL THEN 'bet_id_integer' END,
-  CASE WHEN customer_id <> '' AND NOT regexp_matches(replace(customer_id, '-', ''), '^[0-9a-fA-F]{{32}}$') THEN 'customer_id_uuid' END,
-  CASE WHEN bet_datetime <> '' AND p_ts IS NULL THEN 'bet_datetime_parseable' END,
-  CASE WHEN bet_num <> '' AND p_num IS NULL THEN 'bet_num_integer' END, CASE WHEN p_num < 1 THEN 'bet_num_positive' END,
-  CASE WHEN betting_amount <> '' AND a IS NULL THEN 'betting_amount_numeric' END, CASE WHEN a <= 0 THEN 'betting_amount_gt_0' END,
-  CASE WHEN price <> '' AND q IS NULL THEN 'price_numeric' END, CASE WHEN q <= 1 THEN 'price_gt_1' END,
-  CASE WHEN payout <> '' AND o IS NULL THEN 'payout_numeric' END, CASE WHEN return_for_entain <> '' AND r IS NULL THEN 'return_for_entain_numeric' END,
+  CASE WHEN p_id IS NULL THEN 'bet_id_integer' END,
+  CASE WHEN NOT regexp_matches(replace(customer_id, '-', ''), '^[0-9a-fA-F]{{32}}$') THEN 'customer_id_uuid' END,
+  CASE WHEN p_ts IS NULL THEN 'bet_datetime_parseable' END,
+  CASE WHEN p_num IS NULL THEN 'bet_num_integer' END, CASE WHEN p_num < 1 THEN 'bet_num_positive' END,
+  CASE WHEN a IS NULL THEN 'betting_amount_numeric' END, CASE WHEN a <= 0 THEN 'betting_amount_gt_0' END,
+  CASE WHEN q IS NULL THEN 'price_numeric' END, CASE WHEN q <= 1 THEN 'price_gt_1' END,
+  CASE WHEN o IS NULL THEN 'payout_numeric' END, CASE WHEN r IS NULL THEN 'return_for_entain_numeric' END,
   CASE WHEN category NOT IN ('sports', 'racing') THEN 'category_domain' END, CASE WHEN stake_type NOT IN ('cash', 'bonus') THEN 'stake_type_domain' END, CASE WHEN bet_result NOT IN ('return', 'no-return') THEN 'bet_result_domain' END,
   CASE WHEN a IS NOT NULL AND q IS NOT NULL AND o IS NOT NULL AND xo IS NULL THEN 'payout_rule_not_evaluable' END,
   CASE WHEN a IS NOT NULL AND q IS NOT NULL AND o IS NOT NULL AND abs(o - xo) > 0.00001 THEN 'payout_formula' END,
@@ -98,8 +131,8 @@ _COUNTS = _PARSED + "SELECT rule, CAST(count(*) AS BIGINT) AS failures FROM (SEL
 def _features_sql(n: int) -> str:
     total = lambda c: f"CAST(sum(CAST({c} AS DECIMAL(30,8))) AS DOUBLE)"
     return _PARSED + f"""SELECT customer_id, arg_min(p_ts, (p_num, p_ts, p_id)) AS first_bet_datetime, arg_min(p_ts, (p_num, p_ts, p_id)) FILTER (WHERE p_num = {n}) AS bet_{n}_datetime,
-  CAST(count(*) AS BIGINT) AS bets_used, {total("a")} AS total_betting_amount, round({total("a")} / count(*), 6) AS mean_betting_amount, round({total("q")} / count(*), 6) AS mean_price,
-  round(count(*) FILTER (WHERE category = 'racing') / count(*), 6) AS pct_racing, round(count(*) FILTER (WHERE stake_type = 'cash') / count(*), 6) AS pct_cash, round(count(*) FILTER (WHERE bet_result = 'return') / count(*), 6) AS pct_return,
+  CAST(count(*) AS BIGINT) AS bets_used, {total("a")} AS total_betting_amount, round({total("a")} / count(*), 12) AS mean_betting_amount, round({total("q")} / count(*), 12) AS mean_price,
+  round(count(*) FILTER (WHERE category = 'racing') / count(*), 12) AS pct_racing, round(count(*) FILTER (WHERE stake_type = 'cash') / count(*), 12) AS pct_cash, round(count(*) FILTER (WHERE bet_result = 'return') / count(*), 12) AS pct_return,
   {total("o")} AS total_payout, {total("r")} AS total_return_for_entain FROM x WHERE len(errors) = 0 AND p_num <= {n} GROUP BY customer_id"""
 
 
@@ -114,8 +147,8 @@ _LIBRARY = _PARSED + f""", y AS (SELECT *, count(*) OVER (PARTITION BY bet_id) A
 n AS (SELECT customer_id AS nid, count(DISTINCT p_num) AS nums, max(p_num) AS most, min(p_num) AS least FROM x GROUP BY 1),
 z AS (SELECT source_row_number, list_sort(list_concat(list_filter(errors, lambda e: e NOT IN ({_ACROSS})), list_filter([
   CASE WHEN bet_id <> '' AND p_id IS NOT NULL AND copies > 1 THEN 'bet_id_unique' END,
-  CASE WHEN customer_id <> '' AND p_num >= 1 AND twins > 1 THEN 'customer_bet_num_unique'
-       WHEN customer_id <> '' AND p_num >= 1 AND bet_num = CAST(p_num AS VARCHAR) AND (nums <> most OR least < 1) THEN 'customer_bet_num_sequence' END], lambda e: e IS NOT NULL))) AS errors FROM y JOIN n ON nid = customer_id)
+  CASE WHEN p_num >= 1 AND twins > 1 THEN 'customer_bet_num_unique'
+       WHEN p_num >= 1 AND bet_num = CAST(p_num AS VARCHAR) AND (nums <> most OR least < 1) THEN 'customer_bet_num_sequence' END], lambda e: e IS NOT NULL))) AS errors FROM y JOIN n ON nid = customer_id)
 SELECT source_row_number, array_to_string(errors, '|') AS validation_errors FROM z"""
 
 ORACLE_SQL = {
@@ -136,3 +169,4 @@ ORACLE_SQL = {
     "source_row_resolution": f"SELECT min(source_row_number) AS first_row, max(source_row_number) AS last_row, CAST(count(DISTINCT source_row_number) AS BIGINT) AS total_rows FROM ({DERIVED_SQL})",
     "failure_combinations": _PARSED + "SELECT array_to_string(errors, '|') AS validation_errors, CAST(count(*) AS BIGINT) AS total_rows FROM x WHERE len(errors) > 0 GROUP BY 1",
 } | {f"rule_{rule}": _PARSED + f"SELECT source_row_number FROM x WHERE list_contains(errors, '{rule}')" for rule in RULES}
+ORACLE_SQL |= {f"csv_{name}": ORACLE_SQL[same] for name, same in (("raw_bets", "bronze_projection"), ("valid_bets", "valid_bets"), ("invalid_bets", "invalid_bets"), ("customer_features", "customer_features_n20"), ("failure_counts", "failure_counts"))}

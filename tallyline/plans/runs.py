@@ -44,6 +44,13 @@ class RunConfig:
     partition_count: int | None = None
     first_n: int = FIRST_N
     rules: rules.RuleConfig = field(default_factory=rules.RuleConfig)
+    #: Columns of the feature table, all by default, and the version that its report names.
+    feature_columns: tuple[str, ...] | None = None
+    feature_set_version: str = FEATURE_SET_VERSION
+
+    @property
+    def features(self) -> list[str]:
+        return list(self.feature_columns or feature_columns(self.first_n))
 
     def check(self) -> None:
         for name in ("batch_size", "validation_workers", "feature_workers", "first_n"):
@@ -106,7 +113,7 @@ class Run:
     def commit(self, validated: Validated) -> None:
         missing = self.missing(validated)
         if missing:
-            raise FileNotFoundError(f"Cannot commit incomplete run. Missing: {', '.join(missing)}")
+            raise FileNotFoundError(f"run is not whole, these paths are lacking: {', '.join(missing)}")
         self.store.write_json(f"{self.staging}/_SUCCESS", {"run_id": self.run_id, "committed_at": now().isoformat(timespec="seconds")})
         self.store.make_folder(self._runs)
         self.store.rename(self.staging, self.committed)
@@ -125,12 +132,12 @@ def validate_input(spark: SparkSession, store: Store, path: str, run: Run, confi
     raw_dir, folder = f"{run.staging}/raw/raw_bets", f"{run.staging}/validation"
     store.write_parts(partition.customer_complete(rules.project(raw_input.rows), count, "source_row_number"), raw_dir, count)
     stored = spark.read.schema(rules.RAW_SCHEMA).parquet(raw_dir)
-    present = [c for c in rules.COLUMNS if c in raw_input.fieldnames]
+    present = [c for c in config.rules.columns if c in raw_input.fieldnames]
     annotated = partition.customer_complete(rules.annotate(stored, config.rules, columns=present), count, "source_row_number")
     annotated = annotated.persist(StorageLevel.DISK_ONLY)
     try:
         store.write_parts(rules.valid(annotated), f"{folder}/valid_bets", count)
-        store.write_parts(rules.invalid(annotated).withColumn("validated_at", F.lit(at)), f"{folder}/invalid_bets", count)
+        store.write_parts(rules.invalid(annotated, config.rules.columns).withColumn("validated_at", F.lit(at)), f"{folder}/invalid_bets", count)
     finally:
         annotated.unpersist()
     invalid = spark.read.parquet(f"{folder}/invalid_bets")
@@ -145,8 +152,8 @@ def validate_input(spark: SparkSession, store: Store, path: str, run: Run, confi
         "batch_size": config.batch_size,
         "batches_processed": math.ceil(total / config.batch_size),
         "feature_partition_count": count,
-        "missing_columns": [c for c in rules.COLUMNS if c not in raw_input.fieldnames],
-        "extra_columns": [c for c in raw_input.fieldnames if c not in rules.COLUMNS],
+        "missing_columns": [c for c in config.rules.columns if c not in raw_input.fieldnames],
+        "extra_columns": [c for c in raw_input.fieldnames if c not in config.rules.columns],
         "failure_counts_by_rule": {r["rule"]: r["failures"] for r in failures},
         "input_path": path,
         "input_fingerprint": fingerprint,
@@ -160,26 +167,26 @@ def load_validated(spark: SparkSession, store: Store, run_dir: str) -> Validated
     run_dir = run_dir.rstrip("/")
     folder = f"{run_dir}/validation"
     if not store.is_file(f"{run_dir}/_SUCCESS"):
-        raise FileNotFoundError(f"Validation checkpoint is not committed: missing {run_dir}/_SUCCESS")
+        raise FileNotFoundError(f"no published run, not committed: {run_dir}/_SUCCESS is lacking")
     missing = [p for p in (f"{folder}/validation_report.json", f"{folder}/valid_bets", f"{folder}/invalid_bets") if not store.exists(p)]
     if missing:
-        raise FileNotFoundError(f"Validation checkpoint is incomplete. Missing: {', '.join(missing)}")
+        raise FileNotFoundError(f"the reused run lacks {', '.join(missing)}")
     report = store.read_json(f"{folder}/validation_report.json")
     if report.get("schema_version") != SCHEMA_VERSION:
-        raise ValueError(f"Validation checkpoint schema_version {report.get('schema_version')!r} does not match expected {SCHEMA_VERSION!r}")
+        raise ValueError(f"the reused run has schema version {report.get('schema_version')!r}, not {SCHEMA_VERSION!r}")
     for name in ("feature_partition_count", "total_rows", "batches_processed", "valid_rows", "invalid_rows", "batch_size"):
         if type(report.get(name)) is not int:
-            raise ValueError(f"Validation checkpoint report field {name!r} must be an integer")
+            raise ValueError(f"{name!r} in the report of the reused run is no whole number")
     if not isinstance(report.get("failure_counts_by_rule"), dict):
         report["failure_counts_by_rule"] = {}
     if not isinstance(report.get("input_fingerprint"), dict):
         report["input_fingerprint"] = {}
     absent = [f"{t}/{part_name(k)}" for t in (f"{folder}/valid_bets", f"{folder}/invalid_bets") for there in [set(store.names(t))] for k in range(report["feature_partition_count"]) if part_name(k) not in there]
     if absent:
-        raise FileNotFoundError(f"Validation checkpoint is missing partition files: {', '.join(absent)}")
+        raise FileNotFoundError(f"the reused run lacks the parts {', '.join(absent)}")
     found = dict(spark.read.parquet(f"{folder}/valid_bets").dtypes)
     if found != rules.VALID_TYPES:
-        raise ValueError(f"Validation checkpoint columns {found} do not match expected {rules.VALID_TYPES}")
+        raise ValueError(f"the reused run has the columns {found}, not {rules.VALID_TYPES}")
     return Validated(folder, report, run_dir.rsplit("/", 1)[-1], run_dir)
 
 
@@ -192,7 +199,7 @@ def feature_columns(n: int) -> list[str]:
 def write_features(spark: SparkSession, store: Store, validated: Validated, run: Run, config: RunConfig) -> FeatureCounts:
     at, folder, n = now(), f"{run.staging}/features", config.first_n
     parts = [f"{validated.folder}/valid_bets/{part_name(k)}" for k in range(validated.count)]
-    built = features.build_features(spark.read.parquet(*parts), n).withColumn("feature_generated_at", F.lit(at)).select(*feature_columns(n))
+    built = features.build_features(spark.read.parquet(*parts), n).withColumn("feature_generated_at", F.lit(at)).select(*config.features)
     store.write_parts(partition.customer_complete(built, validated.count, "customer_id"), f"{folder}/customer_features", validated.count)
     counts = FeatureCounts(*features.completeness(spark.read.parquet(f"{folder}/customer_features"), n).first())
     store.write_json(f"{folder}/feature_report.json", {
@@ -205,8 +212,8 @@ def write_features(spark: SparkSession, store: Store, validated: Validated, run:
         "invalid_rows_excluded": validated.report["invalid_rows"],
         "run_id": run.run_id,
         "generated_at": at.isoformat(timespec="seconds"),
-        "feature_set_version": FEATURE_SET_VERSION,
-        "feature_columns": feature_columns(n),
+        "feature_set_version": config.feature_set_version,
+        "feature_columns": config.features,
         "window_datetime_column": f"bet_{n}_datetime",
         **asdict(counts),
         "first_n_bets": n,
@@ -247,7 +254,7 @@ def manifest(run: Run, validated: Validated, config: RunConfig, counts: FeatureC
             "customers": counts.customers if built else 0,
             "customers_with_incomplete_first_n": counts.customers_with_incomplete_first_n if built else 0,
             "first_n_bets": n if built else None,
-            "feature_columns": feature_columns(n) if built else [],
+            "feature_columns": config.features if built else [],
             "window_datetime_column": f"bet_{n}_datetime" if built else None,
             "feature_worker_count": config.feature_workers if built else None,
             "batch_size": validated.report["batch_size"],
@@ -299,8 +306,8 @@ def library_report(raw: DataFrame, config: rules.RuleConfig = rules.RuleConfig()
         "generated_at": at,
         "schema_version": SCHEMA_VERSION,
         **rules.totals(annotated).first().asDict(),
-        "missing_columns": [c for c in rules.COLUMNS if c not in raw.columns],
-        "extra_columns": [c for c in raw.columns if c not in rules.COLUMNS and c != "source_row_number"],
+        "missing_columns": [c for c in config.columns if c not in raw.columns],
+        "extra_columns": [c for c in raw.columns if c not in config.columns and c != "source_row_number"],
         "failure_counts_by_rule": counts,
     }
-    return rules.valid(annotated), rules.invalid(annotated), report
+    return rules.valid(annotated), rules.invalid(annotated, config.columns), report

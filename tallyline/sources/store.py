@@ -40,8 +40,11 @@ class Store:
         fs.delete(at, True)
 
     def rename(self, source: str, target: str) -> None:
-        fs, at = self._at(source)
-        if not fs.rename(at, self._at(target)[1]):
+        """A target that is there already is an error: a folder would be moved into it."""
+        (fs, at), to = self._at(source), self._at(target)[1]
+        if fs.exists(to):
+            raise FileExistsError(f"already exists: {target}")
+        if not fs.rename(at, to):
             raise OSError(f"cannot rename {source} to {target}")
 
     def copy(self, source: str, target: str) -> None:
@@ -89,6 +92,17 @@ class Store:
         status = fs.getFileStatus(at)  # raises where there is nothing
         return {"path": path, "size_bytes": fs.getContentSummary(at).getLength(), "mtime_ns": status.getModificationTime() * 1_000_000}
 
+    def write_csv(self, rows: DataFrame, folder: str, columns: list[str]) -> None:
+        """``columns`` of ``rows`` as a folder of CSV files with headers, in row order; seen when whole.
+
+        Other columns are left out, nulls become empty fields, and a quote in a field is doubled.
+        """
+        beside = f"{folder}.tmp"
+        rows.select(*columns).write.mode("overwrite").option("header", True).option("escape", '"').option("emptyValue", "").csv(beside)
+        if self.exists(folder):
+            self.delete(folder)
+        self.rename(beside, folder)
+
     def write_parts(self, rows: DataFrame, folder: str, count: int) -> None:
         """``rows``, already in ``count`` partitions, as ``part-00000.parquet`` and so on, one for each.
 
