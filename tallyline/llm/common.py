@@ -17,16 +17,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """``df`` written to the checkpoint folder that the executors share, without its lineage.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share, ``spark.checkpoint.dir`` of the session.
 
-    The folder is the session's ``spark.checkpoint.dir``; only a session without one (tests) gets a
-    temporary folder.
+    A session without one gets a temporary folder if it runs in one process (tests); on a cluster that
+    is an error, as executors could not read it.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
+    if found := spark.conf.get("spark.checkpoint.dir", None):
+        return found
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
+    return tempfile.mkdtemp(prefix="shared-")
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """``df`` written to the checkpoint folder that the executors share, without its lineage."""
+    context = df.sparkSession.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoint-"))
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
 
 

@@ -131,9 +131,10 @@ def test_classifiers(spark):
     assert toxicity.segments(scores) == [(0, 1, 1.0), (2, 5, 4.0), (6, 7, 1.0)]
 
 
-def test_line_dedup_verifies_every_candidate(spark, monkeypatch):
+@pytest.mark.parametrize("crowded", [0, 32])
+def test_line_dedup_verifies_every_candidate(spark, monkeypatch, crowded):
     """Chains of edits, later rounds forced: no similar pair that shares a bucket may end in two components."""
-    monkeypatch.setattr(line_dedup, "CROWDED", 0)
+    monkeypatch.setattr(line_dedup, "CROWDED", crowded)
     random, rows = np.random.default_rng(5), []
     for family in range(12):
         line = list(prose(500 + family, 30))
@@ -149,7 +150,7 @@ def test_line_dedup_verifies_every_candidate(spark, monkeypatch):
     for r in entries:
         members.setdefault(r["bucket"], set()).add(r["id"])
     similar = {(a, b) for m in members.values() for a in m for b in m if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
-    got = {tuple(sorted((r["a"], r["b"]))) for r in line_dedup.links(found).collect()}
+    got = {tuple(sorted((r["a"], r["b"]))) for r in line_dedup.links(found)[0].collect()}
     root = {r["node"]: r["component"] for r in components.components(spark.createDataFrame(list(got), "a long, b long")).collect()}
     assert got <= similar and [p for p in similar if root.get(p[0], p[0]) != root.get(p[1], p[1])] == []
 
@@ -186,3 +187,37 @@ def test_media_captions_keep_their_text():
     assert found("<figure><img src='a'><figcaption>open</figure>after") == [(0, "media", "a", "open"), (1, "text", "after", None)]
     assert found("<figure><figcaption>first</figcaption><img src='a' alt='x'><figcaption>last</figcaption></figure>") == [(0, "media", "a", "first last")]
     assert found("<figcaption>never closed <b>to the end") == [(0, "text", "never closed to the end", None)]
+
+
+def test_line_dedup_tells_rows_of_one_key_apart(spark):
+    """Clashing column names, null and repeated keys, repeated rows, blank and empty texts."""
+    same = prose(41, 30)
+    rows = [(1, same, "a"), (2, f"{same}\nown line of two", "b"), (2, f"other first line\n{same}", "c"), (None, same, "d"), (1, same, "e"), (3, None, "f"), (4, "", "g"), (5, " \n ", "h")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, dedup_key string").withColumns({c: F.lit(0) for c in ("dedup_lines", "lines", "row", "key", "number", "id", "doc")})
+    got = sorted(((r["dedup_key"], r["text"]) for r in line_dedup.apply(frame).collect()))
+    # the line stays where its key is least: null keys come first
+    assert got == [("b", "own line of two"), ("c", "other first line"), ("d", same), ("f", None), ("g", ""), ("h", " \n ")]
+    assert line_dedup.apply(frame).columns == frame.columns
+    assert line_dedup.report(frame.limit(0)).count() == 0 and line_dedup.apply(frame.limit(0)).count() == 0
+    assert sorted((r["doc_id"] or 0, r["n_lines"], r["removed"]) for r in line_dedup.report(frame).collect()) == [(0, 1, []), (1, 1, [0]), (1, 1, [0]), (2, 2, [0]), (2, 2, [1]), (3, 0, []), (4, 1, []), (5, 2, [])]
+
+
+def test_line_dedup_recall_on_chains(spark):
+    """Families of lines, each an edit of the one before: components against all pairs."""
+    random, rows = np.random.default_rng(8), []
+    for family in range(30):
+        line = list(prose(700 + family, 40))
+        for _ in range(11):
+            rows.append("".join(line))
+            for at in random.integers(len(line), size=2):
+                line[at] = "#" if line[at] != "#" else "+"
+    sets = [{x[k : k + 8] for k in range(len(x) - 7)} for x in rows]
+    root = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]) and root[i] != root[j]:
+                root = [root[j] if r == root[i] else r for r in root]
+    wanted = sum(r != i for i, r in enumerate(root))
+    frame = spark.createDataFrame([(i, x) for i, x in enumerate(rows)], "doc_id long, text string")
+    found = sum(r["n_removed"] for r in line_dedup.report(frame).collect())
+    assert 0.95 * wanted <= found <= wanted
