@@ -22,8 +22,10 @@ from pyspark.sql import functions as F
 
 from tallyline.llm.common import kept, pieces
 
-#: Distinct pre-tokens whose ids a worker remembers; the memory is emptied when full.
-MEMO_ENTRIES = 150_000
+#: Distinct pre-tokens whose ids a worker remembers, and characters of those at most: longer ones are
+#: encoded anew each time, so the memory has a bound in bytes. It is emptied when full.
+MEMO_ENTRIES = 250_000
+MEMO_LENGTH = 40
 
 
 def load_ranks(path: str) -> list[bytes]:
@@ -116,23 +118,20 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 
 class _Memo(dict):
-    """Ids by pre-token, as they are first met: the newest and, behind them, those of the turn before."""
+    """Ids by pre-token, as they are first met."""
 
     def __init__(self, vocabulary: list[bytes], whole: PerfectHash):
         self.whole = whole
         self.ranks = {token: rank for rank, token in enumerate(vocabulary)}
-        self.old: dict[str, tuple[int, ...]] = {}
 
     def __missing__(self, token: str) -> tuple[int, ...]:
-        if len(self) >= MEMO_ENTRIES:
-            self.old = dict(self)
-            self.clear()
-        ids = self.old.get(token)
-        if ids is None:
-            piece = token.encode("utf-8")
-            rank = self.whole.get(piece)
-            ids = (rank,) if rank is not None else tuple(merge(piece, self.ranks))
-        self[token] = ids
+        piece = token.encode("utf-8")
+        rank = self.whole.get(piece)
+        ids = (rank,) if rank is not None else tuple(merge(piece, self.ranks))
+        if len(token) <= MEMO_LENGTH:
+            if len(self) >= MEMO_ENTRIES:
+                self.clear()
+            self[token] = ids
         return ids
 
 
@@ -159,7 +158,7 @@ def encode(df: DataFrame, key: str, text: str, vocabulary: list[bytes], pattern:
         memo, find = kept(name, build), regex.compile(pattern).findall
         token = memo.whole.keys.__getitem__
         for batch in batches:
-            for part in pieces(batch, "text"):
+            for part in pieces(batch, "text", 1 << 20):
                 values, offsets, decoded = [], [0], []
                 for value in part.column("text").to_pylist():
                     ids = list(chain.from_iterable(map(memo.__getitem__, find(value)))) if value else []
