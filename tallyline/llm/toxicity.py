@@ -4,7 +4,8 @@ Tokens get the log-odds of toxic against other labelled documents under an infor
 (the pooled counts). All maximal scoring segments of a text are found in one linear scan. Under random
 text the best of n tokens follows an extreme-value law, P(S >= s) = 1 - exp(-K n exp(-lambda s)); its
 parameters come from the untoxic training rows, and a text's score is a logistic function of the
-evidence of its significant segments in those units.
+evidence of its significant segments in those units. The weight of the prior and the significance of a
+token are chosen within the training rows.
 """
 
 from __future__ import annotations
@@ -22,15 +23,17 @@ from pyspark.sql import functions as F
 
 from tallyline.llm.common import cut, pieces
 
-#: Labelled rows to learn from at most; entries of the token table at most (by significance).
+#: Labelled rows to learn from at most; they bound the token table too.
 ROWS = 20_000
-ENTRIES = 50_000
-#: Weight of the pooled prior in tokens and what each token has besides; z above which a log-odds
-#: counts; score of every other token.
-PRIOR = 500.0
+#: Weights of the pooled prior in tokens, and least sizes of z from which a token has a score of its own:
+#: training chooses among them. What each token has besides the prior.
+PRIORS = (100.0, 500.0, 2000.0)
+SIGNIFICANT = (2.0, 3.0, 4.0)
 FLOOR = 0.5
-SIGNIFICANT = 3.2
-DRIFT = -0.08
+#: All other tokens share the log ratio of their common share, which is this at most.
+REST = -0.01
+#: Scores of untoxic tokens are counted by steps of this size.
+STEP = 0.01
 #: Expected number of segments by chance, below which one is significant.
 E_VALUE = 0.05
 #: Lengths of the word beginnings that a word unknown to the table falls back on.
@@ -42,6 +45,7 @@ WORD = re.compile(r"\w+")
 @dataclass(frozen=True)
 class Model:
     tokens: dict[str, float]
+    rest: float
     rate: float  # lambda
     scale: float  # ln K
     bias: float
@@ -51,8 +55,8 @@ class Model:
 class _Scores(dict):
     """Score by word, as they are first met."""
 
-    def __init__(self, tokens: dict[str, float]):
-        self.tokens = tokens
+    def __init__(self, tokens: dict[str, float], rest: float):
+        self.tokens, self.rest = tokens, rest
 
     def __missing__(self, word: str) -> float:
         if len(self) >= MEMO_ENTRIES:
@@ -61,7 +65,7 @@ class _Scores(dict):
         for length in STEMS if found is None else ():
             if len(word) > length and (found := self.tokens.get(word[:length] + "*")) is not None:
                 break
-        self[word] = found = max(DRIFT, found) if found is not None else DRIFT
+        self[word] = found = self.rest if found is None else found
         return found
 
 
@@ -100,13 +104,25 @@ def _evidence(n: int, found: list[tuple[int, int, float]], rate: float, scale: f
     return max(-8.0, min(60.0, max([max(units, default=-8.0), sum(u for u in units if u >= -math.log(E_VALUE))])))
 
 
+def _root(steps: np.ndarray, counts: np.ndarray) -> float:
+    """The positive lambda at which exp(lambda s) of the tokens' scores has mean 1."""
+    values, shares = steps * STEP, counts / max(counts.sum(), 1)
+    low, high = 1e-3, 20.0
+    for _ in range(60):
+        middle = (low + high) / 2
+        moment = float((shares * np.exp(np.minimum(middle * values, 600))).sum())
+        low, high = (low, middle) if moment > 1 else (middle, high)
+    return max(low, 0.05) if len(values) and values.max() > 0 else 1.0
+
+
 def train(sample: DataFrame) -> Model:
     """A model from rows of ``label`` (1: toxic) and ``text``.
 
-    Four of five rows make the token table; the fifth sets the law of chance and the logistic curve.
-    What reaches the driver is bounded: ENTRIES tokens, and a few numbers for each of ROWS texts.
+    Four of five rows make the token tables, one for each weight of the prior; the fifth sets the law of
+    chance and the logistic curve of each choice, and the choice with the least logistic loss there is
+    kept. What reaches the driver is bounded by ROWS: tokens, and a few numbers for each text.
     """
-    sample = sample.withColumn("part", F.pmod(F.xxhash64("text", F.lit(5)), F.lit(5)))
+    sample = cut(sample.withColumn("part", F.pmod(F.xxhash64("text", F.lit(5)), F.lit(5))))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -119,46 +135,76 @@ def train(sample: DataFrame) -> Model:
                 yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), *(pa.array([s[n] for n in names], pa.int64()) for s in sides)], names=["token", "clean", "toxic"])
 
     counts = sample.where("part > 0").mapInArrow(count, "token string, clean long, toxic long").groupBy("token").agg(F.sum("clean").cast("double").alias("c"), F.sum("toxic").cast("double").alias("t"))
-    counts = cut(counts)
-    total = counts.agg(F.coalesce(F.sum("c"), F.lit(0.0)).alias("c"), F.coalesce(F.sum("t"), F.lit(0.0)).alias("t")).first()
-    counts = counts.withColumns({"nc": F.lit(total["c"]), "nt": F.lit(total["t"])})
-    prior = FLOOR + F.lit(PRIOR) * (F.col("c") + F.col("t")) / (F.col("nc") + F.col("nt"))
-    t, c = F.col("t") + prior, F.col("c") + prior
-    odds = F.log(t / (F.col("nt") + PRIOR - t)) - F.log(c / (F.col("nc") + PRIOR - c))
-    kept = counts.where("nt > 0 and nc > 0").select("token", odds.alias("odds"), (odds / F.sqrt(1 / t + 1 / c)).alias("z")).where(F.col("z") >= SIGNIFICANT)
-    tokens = {r["token"]: r["odds"] for r in kept.orderBy(F.desc("z"), "token").limit(ENTRIES).collect()}
-
-    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scores = _Scores(tokens)
+    counts = cut(counts.withColumn("word", ~F.col("token").endswith("*")))
+    total = lambda x, when: F.coalesce(F.sum(F.when(when, F.col(x))), F.lit(0.0))
+    sums = counts.agg(total("c", F.lit(True)).alias("c"), total("t", F.lit(True)).alias("t"), total("c", F.col("word")).alias("wc"), total("t", F.col("word")).alias("wt")).first()
+    nc, nt = sums["c"], sums["t"]
+    choices: list[tuple[dict[str, float], float]] = []
+    for weight in PRIORS if nc and nt else ():
+        prior = FLOOR + F.lit(weight) * (F.col("c") + F.col("t")) / (nc + nt)
+        t, c = F.col("t") + prior, F.col("c") + prior
+        odds = F.log(t / (nt + weight - t)) - F.log(c / (nc + weight - c))
+        marked = counts.select("token", "word", "c", "t", odds.alias("odds"), F.abs(odds / F.sqrt(1 / t + 1 / c)).alias("z")).where(F.col("z") >= min(SIGNIFICANT)).collect()
+        for least in SIGNIFICANT:
+            kept = [r for r in marked if r["z"] >= least]
+            c_left, t_left = (sums[f"w{x}"] - sum(r[x] for r in kept if r["word"]) for x in "ct")
+            rest = math.log((t_left + 1) / (sums["wt"] + 1)) - math.log((c_left + 1) / (sums["wc"] + 1))
+            choices.append(({r["token"]: r["odds"] for r in kept}, min(REST, rest)))
+    choices = choices or [({}, REST)]
+    shared = sample.sparkSession.sparkContext.broadcast(choices)  # bounded by the sample
+
+    def scanned(batches: Iterator[pa.RecordBatch], told) -> Iterator[pa.RecordBatch]:
+        """``told`` of every text and choice: label, tokens, scores."""
+        scores = [_Scores(*x) for x in shared.value]
         for batch in batches:
             for part in pieces(batch, "text"):
-                rows = []
                 for label, text in zip(part.column("label").to_pylist(), part.column("text").to_pylist()):
-                    n, s = _scan(text, scores)
-                    best = sorted((x[2] for x in segments(s)), reverse=True)[:64]
-                    rows.append((label, n, best, s[s > 0].tolist()[:64], int((s > 0).sum())))
-                kinds = [pa.int32(), pa.int64(), pa.list_(pa.float64()), pa.list_(pa.float64()), pa.int64()]
-                yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows), kinds)], names=["label", "n", "best", "ups", "up"])
+                    yield told(label, [_scan(text, s) for s in scores])
 
-    seen = sample.where("part = 0").mapInArrow(look, "label int, n long, best array<double>, ups array<double>, up long").collect()
-    clean = [r for r in seen if r["label"] == 0]
-    total, ups = sum(r["n"] for r in clean), sum(r["up"] for r in clean)
-    values = np.array([u for r in clean for u in r["ups"]] or [1.0])
-    share = (ups + 1) / (total + 2)
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The best segment of every text; how often each score occurs in the untoxic ones."""
+        seen = [Counter() for _ in shared.value]
 
-    def moment(rate: float) -> float:
-        return share * float(np.exp(np.minimum(rate * values, 600)).mean()) + (1 - share) * math.exp(rate * DRIFT) - 1
+        def told(label, scans):
+            for held, (_, s) in zip(seen, scans) if label == 0 else ():
+                held.update(np.rint(s / STEP).astype(np.int64).tolist())
+            return label, scans[0][0], [max((x[2] for x in segments(s)), default=0.0) for _, s in scans]
 
-    low, high = 1e-3, 20.0
-    for _ in range(60):  # the positive root
-        middle = (low + high) / 2
-        low, high = (low, middle) if moment(middle) > 0 else (middle, high)
-    rate = max(low, 0.05)
-    units = [rate * max(r["best"], default=0.0) - math.log(max(r["n"], 1)) for r in clean]
-    scale = (sum(units) / len(units) if units else 0.0) - 0.5772156649
-    x = np.array([_evidence(r["n"], [(0, 0, s) for s in r["best"]], rate, scale) for r in seen])
-    bias, slope = _logistic(x, np.array([r["label"] for r in seen], dtype=float))
-    return Model(tokens, rate, scale, bias, slope)
+        rows = list(scanned(batches, told))
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate((pa.int32(), pa.int64(), pa.list_(pa.float64())))], names=["label", "n", "best"])
+        for i, held in enumerate(seen):
+            yield pa.RecordBatch.from_arrays([pa.array([-1 - i], pa.int32()), pa.array([0], pa.int64()), pa.array([[float(x) for pair in held.items() for x in pair]], pa.list_(pa.float64()))], names=["label", "n", "best"])
+
+    fifth = sample.where("part = 0")
+    seen = fifth.mapInArrow(look, "label int, n long, best array<double>").collect()
+    clean = [r for r in seen if r["label"] == 0]
+    laws = []
+    for i in range(len(choices)):
+        held = Counter()
+        for r in seen:
+            if r["label"] == -1 - i:
+                for step, times in zip(r["best"][::2], r["best"][1::2]):
+                    held[step] += times
+        rate = _root(np.array(list(held)), np.array(list(held.values())))
+        units = [rate * r["best"][i] - math.log(max(r["n"], 1)) for r in clean]
+        laws.append((rate, (sum(units) / len(units) if units else 0.0) - 0.5772156649))
+
+    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        told = lambda label, scans: (label, [_evidence(n, segments(s), *law) for (n, s), law in zip(scans, laws)])
+        rows = list(scanned(batches, told))
+        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.list_(pa.float64()))], names=["label", "evidence"])
+
+    weighed = fifth.mapInArrow(weigh, "label int, evidence array<double>").collect()
+    y = np.array([r["label"] for r in weighed], dtype=float)
+    least, model = math.inf, None
+    for i, ((tokens, rest), law) in enumerate(zip(choices, laws)):
+        x = np.array([r["evidence"][i] for r in weighed])
+        bias, slope = _logistic(x, y)
+        p = 1 / (1 + np.exp(-np.clip(bias + slope * x, -35, 35)))
+        loss = float(-(y * np.log(p) + (1 - y) * np.log1p(-p)).mean()) if len(y) else 0.0
+        if loss < least:
+            least, model = loss, Model(tokens, rest, *law, bias, slope)
+    return model
 
 
 def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
@@ -183,7 +229,7 @@ def score(docs: DataFrame, key: str, text: str, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = Model(**shared.value)
-        scores = _Scores(m.tokens)
+        scores = _Scores(m.tokens, m.rest)
         form = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64()), ("expected", pa.float64())]))
         for batch in batches:
             for part in pieces(batch, "text"):
@@ -202,19 +248,23 @@ def score(docs: DataFrame, key: str, text: str, model: Model) -> DataFrame:
 
 
 def keep(docs: DataFrame, text: str, model: Model, threshold: float) -> DataFrame:
-    """The rows of ``docs`` that score below ``threshold``, unchanged and unshuffled."""
+    """The rows of ``docs`` that score below ``threshold``, unchanged and unshuffled.
+
+    Null and empty texts have the lowest score and stay, as do repeated rows; other columns don't matter.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(vars(model))
     at = docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = Model(**shared.value)
-        scores = _Scores(m.tokens)
+        scores = _Scores(m.tokens, m.rest)
         for batch in batches:
-            low = []
-            for value in batch.column(at):
-                n, s = _scan(value.as_py() or "", scores)
-                x = m.bias + m.slope * _evidence(n, segments(s), m.rate, m.scale)
-                low.append(1 / (1 + math.exp(-max(-35.0, min(35.0, x)))) < threshold)
-            yield batch.filter(pa.array(low, pa.bool_()))
+            for part in pieces(batch, text):
+                low = []
+                for value in part.column(at):
+                    n, s = _scan(value.as_py() or "", scores)
+                    x = m.bias + m.slope * _evidence(n, segments(s), m.rate, m.scale)
+                    low.append(1 / (1 + math.exp(-max(-35.0, min(35.0, x)))) < threshold)
+                yield part.filter(pa.array(low, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -221,3 +221,35 @@ def test_line_dedup_recall_on_chains(spark):
     frame = spark.createDataFrame([(i, x) for i, x in enumerate(rows)], "doc_id long, text string")
     found = sum(r["n_removed"] for r in line_dedup.report(frame).collect())
     assert 0.95 * wanted <= found <= wanted
+
+
+def test_segments_equal_brute_force():
+    """The best segment by all pairs of ends, then the same left and right of it."""
+
+    def every(scores, at=0):
+        sums = np.concatenate([[0.0], np.cumsum(scores)])
+        best = max(((sums[j] - sums[i], i, j) for i in range(len(scores)) for j in range(i + 1, len(scores) + 1)), default=(0, 0, 0))
+        if best[0] <= 0:
+            return []
+        value, i, j = best
+        return every(scores[:i], at) + [(at + i, at + j, value)] + every(scores[j:], at + j)
+
+    random = np.random.default_rng(4)
+    for n in (0, 1, 2, 7, 30, 60):
+        for _ in range(8):
+            scores = random.normal(-0.2, 1, n)
+            got, wanted = toxicity.segments(scores), every(scores)
+            assert [x[:2] for x in got] == [x[:2] for x in wanted] and np.allclose([x[2] for x in got], [x[2] for x in wanted])
+
+
+def test_toxicity_keep_and_odd_rows(spark):
+    rows = [(i, int(i % 4 == 0), prose(i) + (" vile " * 3 if i % 4 == 0 else "")) for i in range(200)]
+    model = toxicity.train(spark.createDataFrame(rows, "doc_id long, label int, text string"))
+    odd = [(1, None, 1), (1, "", 2), (None, prose(1), 3), (1, prose(1), 4), (1, prose(1), 4), (2, "vile vile vile", 5), (3, prose(5, 150_000), 6)]
+    frame = spark.createDataFrame(odd, "doc_id long, text string, score int")
+    assert sorted(r["score"] for r in toxicity.keep(frame, "text", model, 0.7).collect()) == [1, 2, 3, 4, 4, 6]
+    scored = toxicity.score(frame, "doc_id", "text", model).collect()
+    assert len(scored) == 7 and all(0 <= r["score"] <= 1 for r in scored)
+    assert toxicity.keep(frame.limit(0), "text", model, 0.7).count() == 0
+    nothing = toxicity.train(spark.createDataFrame([], "doc_id long, label int, text string"))
+    assert toxicity.score(frame, "doc_id", "text", nothing).count() == 7
