@@ -62,7 +62,8 @@ RULES = [
 ]
 #: Unknown sentences that may stand between two sentences of a rule.
 GAP = 2
-ENDS = r"(?<=[.!?:])\s+|\n+"
+# the point of "v. 2.0" ends no sentence: else versions of a licence would look alike
+ENDS = r"(?<=[.!?:])(?<!\b[vV]\.)\s+|\n+"
 
 
 def normalised(text: str) -> str:
