@@ -167,13 +167,18 @@ def taken(pieces: DataFrame, slots: DataFrame) -> DataFrame:
     return pieces.join(often.hint("merge"), ["source_index", "block"]).select("row", "start", "length", "times")
 
 
-def rows(docs: DataFrame, key: str) -> DataFrame:
-    """``key``, ``source``, ``size`` and a ``row`` key that tells repeated rows of a key apart.
+def rows(docs: DataFrame, key: str, text: str, source: str) -> DataFrame:
+    """``key, source, size`` and a ``row`` key that tells repeated rows of a key apart, with the row as ``whole``.
 
-    Repeats of a key are numbered by source and size; the number only orders equal rows.
+    Repeats of a key are numbered by source, size and a hash of the text; so the number only orders equal
+    rows. Rows of a null key, of which there may be many, are told apart by source, size and hash alone
+    and numbered within those.
     """
-    again = Window.partitionBy(key).orderBy("source", "size")
-    return docs.withColumn("copy", F.row_number().over(again)).withColumn("row", F.struct(key, "copy"))
+    named = docs.select(F.col(key).alias("key"), F.col(source).alias("source"), words(F.col(text)).alias("size"), F.xxhash64(F.col(text)).alias("hash"), F.struct(*(docs[c] for c in docs.columns)).alias("whole"))
+    spread = F.when(F.col("key").isNull(), F.xxhash64("source", "size", "hash")).otherwise(0)
+    named = named.withColumn("spread", spread)
+    again = Window.partitionBy("key", "spread").orderBy("source", "size", "hash")
+    return named.withColumn("copy", F.row_number().over(again)).withColumn("row", F.struct("key", "spread", "copy")).select("key", "source", "size", "row", "whole")
 
 
 def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
@@ -182,10 +187,10 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     A null text has no words; a null source is a source of its own, the last; repeated rows count and
     are taken each for itself. Other columns are ignored.
     """
-    sizes = cut(rows(docs.select(F.col(key), F.col(source).alias("source"), words(F.col(text)).alias("size")), key))
-    documents, cutting, slots = plan(sizes.select("row", "source", "size"), **options)
+    sizes = cut(rows(docs, key, text, source).select("row", "source", "size"))
+    documents, cutting, slots = plan(sizes, **options)
     per_row = taken(cutting, slots).groupBy("row").agg(F.sum(F.col("length") * F.col("times")).alias("taken"))
-    return documents.join(per_row, "row", "left").select(f"row.{key}", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+    return documents.join(per_row, "row", "left").select(F.col("row.key").alias(key), "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
 
 
 def materialise(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", length: str = "n_chars", **options) -> DataFrame:
@@ -193,22 +198,21 @@ def materialise(docs: DataFrame, key: str = "doc_id", text: str = "text", source
 
     The first row holds the words of all blocks that are taken at least once, the second those taken
     twice, and so on; whole documents keep their text as it is, of others the words of the blocks
-    stand with single blanks between. Documents of which nothing is taken have no row.
+    stand with single blanks between. Documents of which nothing is taken have no row. Other columns,
+    whatever their names, keep their values.
     """
-    keyed = rows(docs.select(F.col(key), F.col(source).alias("source"), words(F.col(text)).alias("size")), key)
+    keyed = rows(docs, key, text, source)
     sizes = cut(keyed.select("row", "source", "size"))
     _, cutting, slots = plan(sizes, **options)
     got = taken(cutting, slots).groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", "length", "times"))).alias("blocks"))
-    # repeated rows of a key are numbered by source and size, as in ``rows``
-    again = Window.partitionBy(key).orderBy(source, "mix_size")
-    full = docs.withColumn("mix_size", words(F.col(text))).withColumn("mix_copy", F.row_number().over(again))
-    marked = full.join(got.select("row", "blocks").hint("merge"), F.struct(F.col(key), F.col("mix_copy").alias("copy")) == F.col("row"))
-    turns = marked.withColumn("mix_turn", F.explode(F.sequence(F.lit(1), F.array_max("blocks.times").cast("int"))))
-    turns = turns.withColumn("mix_blocks", F.filter("blocks", lambda b: b["times"] >= F.col("mix_turn")))
-    held = F.aggregate("mix_blocks", F.lit(0).cast("long"), lambda s, b: s + b["length"])
-    tokens = F.regexp_extract_all(F.col(text), F.lit(f"({WORD})"), F.lit(1))
-    some = F.array_join(F.flatten(F.transform("mix_blocks", lambda b: F.slice(tokens, (b["start"] + 1).cast("int"), b["length"].cast("int")))), " ")
-    out = turns.withColumn(text, F.when(held == F.col("mix_size"), F.col(text)).otherwise(some))
-    if length in docs.columns:
-        out = out.withColumn(length, F.length(text).cast(docs.schema[length].dataType))
-    return out.select(*docs.columns)
+    got = got.select(*(F.col(f"row.{c}").alias(f"r_{c}") for c in ("key", "spread", "copy")), "blocks")
+    same = F.col("row.key").eqNullSafe(F.col("r_key")) & (F.col("row.spread") == F.col("r_spread")) & (F.col("row.copy") == F.col("r_copy"))
+    marked = keyed.join(got.hint("merge"), same).select("whole", F.col("whole")[text].alias("text"), "size", "blocks")
+    turns = marked.withColumn("turn", F.explode(F.sequence(F.lit(1), F.array_max("blocks.times").cast("int"))))
+    turns = turns.withColumn("chosen", F.filter("blocks", lambda b: b["times"] >= F.col("turn")))
+    held = F.aggregate("chosen", F.lit(0).cast("long"), lambda s, b: s + b["length"])
+    tokens = F.regexp_extract_all("text", F.lit(f"({WORD})"), F.lit(1))
+    some = F.array_join(F.flatten(F.transform("chosen", lambda b: F.slice(tokens, (b["start"] + 1).cast("int"), b["length"].cast("int")))), " ")
+    out = turns.withColumn("text", F.when(held == F.col("size"), F.col("text")).otherwise(some))
+    put = {text: F.col("text")} | ({length: F.length("text").cast(docs.schema[length].dataType)} if length in docs.columns else {})
+    return out.select(*(put.get(c, F.col("whole")[c]).alias(c) for c in docs.columns))

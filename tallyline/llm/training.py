@@ -15,9 +15,9 @@ def labelled(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str
     """At most ``rows`` labelled documents as ``key, label, text``, picked by a hash of the key.
 
     ``usable`` says which keys may be learnt from. Null labels are left out; of repeated labels the
-    largest counts, of repeated documents one. ``rows`` bounds the broadcast as well.
+    largest counts, of texts of one key the least. ``rows`` bounds the broadcast as well.
     """
     picked = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull()).where(usable).groupBy(key).agg(F.max(label).cast("int").alias("label"))
     picked = picked.orderBy(F.xxhash64(key, F.lit(seed)), key).limit(rows)
     found = docs.select(key, F.coalesce(F.col(text), F.lit("")).alias("text")).join(F.broadcast(picked), key)
-    return found.dropDuplicates([key])
+    return found.groupBy(key).agg(F.max("label").alias("label"), F.min("text").alias("text"))

@@ -253,3 +253,35 @@ def test_toxicity_keep_and_odd_rows(spark):
     assert toxicity.keep(frame.limit(0), "text", model, 0.7).count() == 0
     nothing = toxicity.train(spark.createDataFrame([], "doc_id long, label int, text string"))
     assert toxicity.score(frame, "doc_id", "text", nothing).count() == 7
+
+
+def test_mixing_keeps_other_columns_and_repeated_keys(spark):
+    rows = [(1, prose(1, 40), "a", 1), (1, prose(2, 40), "a", 2), (1, prose(2, 40), "a", 2), (None, prose(3, 40), None, 3), (None, prose(4, 40), None, 4), (5, None, "a", 5), (6, "", "b", 6)]
+    names = ("row", "blocks", "mix_size", "mix_turn", "mix_copy", "size", "copy", "spread")
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string, mark int").withColumns({c: F.col("mark") for c in names})
+    out = mixing.materialise(frame, block=8, shards=2)
+    got = out.collect()
+    assert out.columns == frame.columns and got and all(r[c] == r["mark"] for r in got for c in names)
+    assert {r["mark"] for r in got} <= {1, 2, 3, 4}
+    whole = {m: set(t.split()) for _, t, _, m in rows if t}
+    assert all(set(r["text"].split()) <= whole[r["mark"]] for r in got)
+    mixed = mixing.mix(frame, block=8, shards=2).collect()
+    assert len(mixed) == 7 and sum(r["taken"] for r in mixed) == sum(len(r["text"].split()) for r in got)
+    assert sorted(map(str, got)) == sorted(map(str, mixing.materialise(frame, block=8, shards=2).collect()))
+    assert mixing.materialise(frame.limit(0)).count() == 0
+
+
+def test_licenses_tell_versions_apart(spark):
+    line = "This Source Code Form is subject to the terms of the Mozilla Public License, v. {}."
+    rows = [(1, line.format("2.0")), (2, line.format("1.1")), (3, "Text. " + line.format("2.0") + " More text.")]
+    got = sorted((r["doc_id"], r["licence"]) for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text").collect())
+    assert got == [(1, "MPL-2.0"), (3, "MPL-2.0")]
+
+
+def test_labelled_rows_are_the_same_each_time(spark):
+    from tallyline.llm.training import labelled
+
+    docs = spark.createDataFrame([(1, "b"), (1, "a"), (2, None), (None, "x")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 0), (1, 1), (2, 0), (3, 1), (None, 1)], "doc_id long, quality int")
+    got = labelled(docs, labels, "doc_id", "text", "quality", 10, F.lit(True)).collect()
+    assert sorted((r["doc_id"], r["label"], r["text"]) for r in got) == [(1, 1, "a"), (2, 0, "")]
