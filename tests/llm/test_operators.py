@@ -133,7 +133,7 @@ def test_classifiers(spark):
 
 @pytest.mark.parametrize("crowded", [0, 32])
 def test_line_dedup_verifies_every_candidate(spark, monkeypatch, crowded):
-    """Chains of edits, later rounds forced: no similar pair that shares a bucket may end in two components."""
+    """Chains of edits, crowded groups forced: no similar pair that shares a bucket may end in two components, nor others in one."""
     monkeypatch.setattr(line_dedup, "CROWDED", crowded)
     random, rows = np.random.default_rng(5), []
     for family in range(12):
@@ -150,9 +150,11 @@ def test_line_dedup_verifies_every_candidate(spark, monkeypatch, crowded):
     for r in entries:
         members.setdefault(r["bucket"], set()).add(r["id"])
     similar = {(a, b) for m in members.values() for a in m for b in m if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
-    got = {tuple(sorted((r["a"], r["b"]))) for r in line_dedup.links(found)[0].collect()}
-    root = {r["node"]: r["component"] for r in components.components(spark.createDataFrame(list(got), "a long, b long")).collect()}
-    assert got <= similar and [p for p in similar if root.get(p[0], p[0]) != root.get(p[1], p[1])] == []
+    every = [(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    widest = {r["node"]: r["component"] for r in components.components(spark.createDataFrame(every, "a long, b long")).collect()}
+    root = {r["id"]: r["component"] for r in line_dedup.classes(found).collect()}
+    assert [p for p in similar if root.get(p[0], p[0]) != root.get(p[1], p[1])] == []
+    assert [i for i, component in root.items() if widest.get(i, i) != widest.get(component, component)] == []
 
 
 def test_licenses_keeps_matches_of_wrapped_lines_elsewhere(spark):
