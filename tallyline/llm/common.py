@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import sys
 import tempfile
 import types
@@ -10,7 +11,10 @@ from typing import Any
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
+
+#: Setting that drops the shuffle files of an action at its end.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,12 +35,37 @@ def shared_folder(spark: SparkSession) -> str:
     return tempfile.mkdtemp(prefix="shared-")
 
 
+@contextlib.contextmanager
+def tidy(spark: SparkSession) -> Iterator[None]:
+    """Frames made within drop the shuffle files of an action when it ends; for those that run one action only."""
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """``df`` written to the checkpoint folder that the executors share, without its lineage."""
+    """``df`` written to the checkpoint folder that the executors share, without its lineage and its shuffle files."""
     context = df.sparkSession.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
         context.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint()
+    with tidy(df.sparkSession):
+        once = df.select("*")
+    return once.checkpoint()
+
+
+def first(df: DataFrame) -> Row | None:
+    """The first row of ``df``; the shuffle files of finding it are dropped."""
+    with tidy(df.sparkSession):
+        once = df.select("*")
+    return once.first()
+
+
+def size(df: DataFrame) -> int:
+    """How many rows ``df`` has; the shuffle files of counting are dropped."""
+    return first(df.groupBy().count())[0]
 
 
 def pieces(batch: pa.RecordBatch, column: str, max_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:

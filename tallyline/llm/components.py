@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyline.llm.common import cut
+from tallyline.llm.common import cut, first
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -26,7 +26,7 @@ def components(edges: DataFrame) -> DataFrame:
         least = down.groupBy("u").agg(F.min("v").alias("m"))
         small = down.join(least, "u").where("v <> m").select(F.col("v").alias("a"), F.col("m").alias("b"))
         now = cut(small.unionByName(least.select(F.col("u").alias("a"), F.col("m").alias("b"))).distinct())
-        seen = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first()
+        seen = first(now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))))
         if seen == before:
             break
         before = seen
