@@ -2,13 +2,14 @@
 
 import hashlib
 import zlib
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from tallyline.llm import bpe, chunking, components, knn, licenses, line_dedup, media, mixing, ngram_join, quality, toxicity
+from tallyline.llm import bpe, chunking, common, components, knn, licenses, line_dedup, media, mixing, ngram_join, quality, toxicity
 
 WORDS = [f"w{i}" for i in range(400)]
 
@@ -287,3 +288,61 @@ def test_labelled_rows_are_the_same_each_time(spark):
     labels = spark.createDataFrame([(1, 0), (1, 1), (2, 0), (3, 1), (None, 1)], "doc_id long, quality int")
     got = labelled(docs, labels, "doc_id", "text", "quality", 10, F.lit(True)).collect()
     assert sorted((r["doc_id"], r["label"], r["text"]) for r in got) == [(1, 1, "a"), (2, 0, "")]
+
+
+def _held(spark):
+    """Files of data below the checkpoint folder, and bytes in them."""
+    folder = spark.sparkContext._jsc.sc().getCheckpointDir()
+    root = Path(folder.get().removeprefix("file:")) if folder.isDefined() else None
+    return {p: p.stat().st_size for p in root.rglob("part-*")} if root else {}
+
+
+def test_line_dedup_keeps_no_intermediate_files(spark):
+    base = prose(1, 300)
+    rows = [(i, f"{base} {'x' * (i % 50)}\n{prose(100 + i, 40)}") for i in range(60)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    before = _held(spark)
+    got = line_dedup.removed(frame, "doc_id", "text")
+    new = {p: n for p, n in _held(spark).items() if p not in before}
+    assert len({p.parent for p in new}) == 1  # that of the result
+    assert got.count() == 59
+
+
+def test_filter_loses_nothing_and_grows_with_what_is_wanted(spark, monkeypatch):
+    found = spark.range(40_000).select(F.xxhash64("id").alias("h"), "id")
+    wanted = found.where("id < 8000").select("h")
+    monkeypatch.setattr(common, "FILTER_BITS", 10)
+    passed = [r["id"] for r in common.maybe(found, wanted, "h", 8000).collect()]
+    assert set(range(8000)) <= set(passed) and len(passed) < 14_000  # a filter of 10 bits would let all through
+
+
+def test_settled_frames_outlive_what_they_were_made_of(spark):
+    def build():
+        return common.cut(spark.range(10), packed=True).join(common.cut(spark.range(5, 20)), "id")
+
+    for packed in (False, True):
+        before = set(_held(spark))
+        out = common.settled(build, packed)
+        assert sorted(r["id"] for r in out.collect()) == [5, 6, 7, 8, 9]
+        assert len({p.parent for p in set(_held(spark)) - before}) == 1
+        common.drop(out)
+        assert not set(_held(spark)) - before
+
+
+def test_components_local_and_distributed_agree(spark, monkeypatch):
+    random = np.random.default_rng(5)
+    rows = [(int(a), int(b)) for a, b in random.integers(-200, 200, (230, 2))] + [(i, i + 1) for i in range(1000, 1100)] + [(None, 5), (7, 7)]
+    frame = spark.createDataFrame(rows, "a long, b long")
+    near = {r["node"]: r["component"] for r in components.components(frame).collect()}
+    monkeypatch.setattr(components, "LOCAL", -1)
+    assert near == {r["node"]: r["component"] for r in components.components(frame).collect()}
+    assert near[1100] == 1000 and components.components(frame.limit(0)).count() == 0
+    monkeypatch.setattr(components, "LOCAL", 10)
+    assert components.components(frame.limit(0)).count() == 0
+
+
+def test_ngram_join_keeps_no_intermediate_files(spark, docs):
+    before = set(_held(spark))
+    got = ngram_join.join(docs.where("doc_id is not null"), "doc_id", "text")
+    assert len({p.parent for p in set(_held(spark)) - before}) == 1
+    assert got.count() == 10
