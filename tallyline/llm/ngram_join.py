@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyline.llm.common import cut, pieces
+from tallyline.llm.common import cut, drop, maybe, pieces, settled, size as rows_of
 from tallyline.llm.components import components
 
 #: log2 of the entries of the frequency table, of its parts, and of the bits of the filter for texts.
@@ -184,7 +184,7 @@ def _verified(docs: DataFrame, key: str, text: str, size: int, percent: int, pai
                 keep = 100 * most >= percent * (n - most)
                 yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(keep)) for c in ("a", "b")], names=["a", "b"])
 
-    likely = cut(full.mapInArrow(suffix, "a long, b long"))
+    likely = cut(full.mapInArrow(suffix, "a long, b long"), packed=True)
     wanted = likely.select(F.col("a").alias("cls")).unionByName(likely.select(F.col("b").alias("cls"))).distinct()
     sets = _sets(docs, key, text, size, cut(wanted.join(classes.select("cls", "rep"), "cls")))
     both = likely.join(sets.select(F.col("cls").alias("b"), F.col("grams").alias("grams_b")).hint("merge"), "b").join(sets.select(F.col("cls").alias("a"), F.col("grams").alias("grams_a")).hint("merge"), "a")
@@ -214,12 +214,18 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 3
     it has none (also for null and empty texts, which have empty sets). A class whose keys are all null
     has a null id. Repeated rows have equal results; other columns are ignored.
     """
-    every = cut(described(docs, key, text, size, percent))
-    classes = cut(every.where("cls is not null").groupBy("cls").agg(F.min("key").alias("rep"), F.first("n").alias("n"), F.first("hist").alias("hist")))
+    return settled(lambda: _join(docs, key, text, size, percent), packed=True)
+
+
+def _join(docs: DataFrame, key: str, text: str, size: int, percent: int) -> DataFrame:
+    every = cut(described(docs, key, text, size, percent), packed=True)
+    classes = cut(every.where("cls is not null").groupBy("cls").agg(F.min("key").alias("rep"), F.first("n").alias("n"), F.first("hist").alias("hist")), packed=True)
     band = F.floor(F.log("n") / math.log(100 / percent)).cast("int")  # sizes in proportion differ by 1 at most
     raw = every.where("cls is not null").select("cls", "n", band.alias("band"), F.posexplode("prefix").alias("pos", "gram"))
-    shared = raw.groupBy("gram").agg(F.min("cls").alias("least"), F.max("cls").alias("most")).where("least <> most").select("gram")
-    entries = cut(raw.join(shared.hint("merge"), "gram", "left_semi").distinct())
+    # grams of one class are most; they are left out before the others are shuffled
+    shared = cut(raw.groupBy("gram").agg(F.min("cls").alias("least"), F.max("cls").alias("most")).where("least <> most").select("gram"), packed=True)
+    entries = cut(maybe(raw, shared, "gram", rows_of(shared)).join(shared.hint("merge"), "gram").distinct(), packed=True)
+    drop(shared)
 
     def likely(n1, p1, n2, p2):
         """Length and positional filter: sizes in proportion, and enough n-grams from the match on.
@@ -237,12 +243,13 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 3
 
     ends = entries.groupBy("gram", "band").agg(F.min(F.struct("pos", "n", "cls")).alias("low"), F.max(F.struct("n", "cls", "pos")).alias("high"), F.min(F.struct(F.xxhash64("cls").alias("h"), "pos", "n", "cls")).alias("any")).where("low.cls <> high.cls")
     central = entries.join(ends.hint("merge"), ["gram", "band"]).withColumns({c: F.struct(f"{c}.pos", f"{c}.n", f"{c}.cls") for c in ("high", "any")})
-    links = cut(_verified(docs, key, text, size, percent, with_centre(central, ["low", "high", "any"]), classes))
-    groups = cut(components(links))
+    links = settled(lambda: _verified(docs, key, text, size, percent, with_centre(central, ["low", "high", "any"]), classes))
+    groups = settled(lambda: components(links))
 
     named = entries.join(groups.select(F.col("node").alias("cls"), "component"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
     mixed = named.groupBy("gram").agg(F.min("component").alias("c1"), F.max("component").alias("c2")).where("c1 <> c2").select("gram")
-    named = cut(named.join(mixed.hint("merge"), "gram", "left_semi"))
+    named = cut(named.join(mixed.hint("merge"), "gram", "left_semi"), packed=True)
+    drop(entries)
     by_group = named.groupBy("gram", "band", "component").agg(F.max(F.col("n") - F.col("pos")).alias("rest"), F.min("n").alias("n"))
     one = by_group.select("gram", F.col("band").alias("b1"), F.col("component").alias("c1"), F.col("rest").alias("r1"), F.col("n").alias("n1"), F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("b2"))
     two = by_group.select("gram", F.col("band").alias("b2"), F.col("component").alias("c2"), F.col("rest").alias("r2"), F.col("n").alias("n2"))
@@ -251,7 +258,7 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 3
     first, second = (named.select("gram", F.col("band").alias(f"b{i}"), F.col("component").alias(f"c{i}"), *(F.col(x).alias(f"{x}_c{i}") for x in ("cls", "n", "pos"))) for i in (1, 2))
     rows = met.join(first.hint("merge"), ["gram", "b1", "c1"]).join(second.hint("merge"), ["gram", "b2", "c2"]).where(likely(F.col("n_c1"), F.col("pos_c1"), F.col("n_c2"), F.col("pos_c2")))
     pairs = rows.select(F.least("cls_c1", "cls_c2").alias("a"), F.greatest("cls_c1", "cls_c2").alias("b")).distinct()
-    groups = cut(components(links.unionByName(_verified(docs, key, text, size, percent, pairs, classes))))
+    groups = settled(lambda: components(links.unionByName(_verified(docs, key, text, size, percent, pairs, classes))))
     member = classes.select("cls", "rep").join(groups.select(F.col("node").alias("cls"), "component"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
     smallest = member.groupBy("component").agg(F.min("rep").alias("component_id"))
     named = member.join(smallest, "component").select("cls", "component_id")
