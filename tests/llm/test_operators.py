@@ -346,3 +346,20 @@ def test_ngram_join_keeps_no_intermediate_files(spark, docs):
     got = ngram_join.join(docs.where("doc_id is not null"), "doc_id", "text")
     assert len({p.parent for p in set(_held(spark)) - before}) == 1
     assert got.count() == 10
+
+
+def test_line_dedup_report_shuffles_no_text(spark):
+    texts = ["", "\n", "a\n\nb", "é\nü", None, "one line"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = line_dedup.report(frame)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftOuter" in plan and "text" not in plan.partition("LeftOuter")[0]
+    assert [r["n_lines"] for r in found.orderBy("doc_id").collect()] == [1, 2, 3, 2, 0, 1]
+
+
+def test_line_dedup_reads_lines_twice(spark, monkeypatch):
+    frame = spark.createDataFrame([(1, "the same long line in two documents\nalone"), (2, "the same long line in two documents\nthe same long line in two documentz")], "doc_id long, text string")
+    whole, read = line_dedup.cut, []
+    monkeypatch.setattr(line_dedup, "cut", lambda df, *a, **b: read.append(df._jdf.queryExecution().optimizedPlan().toString().count("posexplode")) or whole(df, *a, **b))
+    assert {r["doc_id"]: r["removed"] for r in line_dedup.report(frame, percent=70).collect()} == {1: [], 2: [0, 1]}
+    assert sum(map(bool, read)) == 2
