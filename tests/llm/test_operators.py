@@ -363,3 +363,28 @@ def test_line_dedup_reads_lines_twice(spark, monkeypatch):
     monkeypatch.setattr(line_dedup, "cut", lambda df, *a, **b: read.append(df._jdf.queryExecution().optimizedPlan().toString().count("posexplode")) or whole(df, *a, **b))
     assert {r["doc_id"]: r["removed"] for r in line_dedup.report(frame, percent=70).collect()} == {1: [], 2: [0, 1]}
     assert sum(map(bool, read)) == 2
+
+
+def test_lean_stages_relieve_the_driver(spark, monkeypatch):
+    """Garbage of the driver's JVM goes with ``cut`` in ``lean``, seldom enough; stages of the pipeline are lean."""
+    import corpus_pipeline
+
+    assert common._trim(spark)
+    done, real = [], common.relieve
+    monkeypatch.setattr(common, "relieve", lambda session: done.append(real(session)))
+    common.cut(spark.range(3))
+    assert not done
+    with common.lean(spark):
+        garbage = spark._jvm.java.lang.ref.WeakReference("a text that only the JVM holds")
+        common.cut(spark.range(3))
+        assert garbage.get() is None and len(done) == 2
+        monkeypatch.setattr(common, "RELIEF", 1e-9)  # of what follows
+        common._lean.get()[0] = 0.0
+        for _ in range(3):
+            common.cut(spark.range(3))
+        assert len(done) == 3
+    assert len(done) == 4
+    docs = spark.createDataFrame([(1, prose(1), "a"), (2, prose(2), "b")], "doc_id long, text string, source string")
+    for stage in (corpus_pipeline.dedup_lines, corpus_pipeline.dedup_documents, corpus_pipeline.mix_sources):
+        done.clear()
+        assert stage(spark, docs, "").count() >= 2 and len(done) >= 3
