@@ -16,6 +16,7 @@ from typing import Any
 import numpy as np
 import pyarrow as pa
 from py4j.protocol import Py4JError
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,7 +27,12 @@ FILTER_BITS = 23
 MOST_FILTER_BITS = 26
 #: Share of the time that ``relieve`` may take within ``lean``.
 RELIEF = 0.03
+#: Partitions of a packed frame in blocks, for each that files of its size would be read in at least.
+BLOCKS = 4
+#: What Spark says when a block of a frame is gone.
+LOST = "CHECKPOINT_RDD_BLOCK_ID_NOT_FOUND"
 _cuts: contextvars.ContextVar[list[DataFrame] | None] = contextvars.ContextVar("cuts", default=None)
+_safe: contextvars.ContextVar[bool] = contextvars.ContextVar("safe", default=False)
 _lean: contextvars.ContextVar[list[float] | None] = contextvars.ContextVar("lean", default=None)
 
 
@@ -98,12 +104,27 @@ def tidy(spark: SparkSession) -> Iterator[None]:
 
 
 def cut(df: DataFrame, packed: bool = False) -> DataFrame:
-    """``df`` written to the folder that the executors share, without its lineage and its shuffle files.
+    """``df`` as it is now, without its lineage and its shuffle files.
 
-    ``packed`` is for large frames: Parquet, compressed, but how rows were dealt out is forgotten. The files
-    go with ``drop`` or at the end of ``settled``, else when the driver collects its garbage (packed: when it ends).
+    Within ``settled`` it stays in blocks on the executors' disks (two copies), else it is written to the folder that the
+    executors share. ``packed`` is for large frames: how rows were dealt out is forgotten, files are Parquet.
+    What was written goes with ``drop`` or at the end of ``settled``, else when the driver collects its garbage
+    (packed files: when it ends).
     """
     spark = df.sparkSession
+    within = _cuts.get()
+    out = _written(df, packed) if within is None or _safe.get() else _held(df, packed)
+    if within is not None:
+        within.append(out)
+    if (due := _lean.get()) is not None and (began := time.monotonic()) >= due[0]:
+        relieve(spark)
+        due[0] = time.monotonic() + (time.monotonic() - began) / RELIEF
+    return out
+
+
+def _written(df: DataFrame, packed: bool) -> DataFrame:
+    """``df`` in files of the shared folder, which the loss of an executor doesn't harm."""
+    spark = df.sparkSession
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
         context.setCheckpointDir(shared_folder(spark))
@@ -119,11 +140,25 @@ def cut(df: DataFrame, packed: bool = False) -> DataFrame:
         out = once.checkpoint()
         path = out._jdf.queryExecution().logical().rdd().getCheckpointFile().get()
     out._cut = path
-    if (within := _cuts.get()) is not None:
-        within.append(out)
-    if (due := _lean.get()) is not None and (began := time.monotonic()) >= due[0]:
-        relieve(spark)
-        due[0] = time.monotonic() + (time.monotonic() - began) / RELIEF
+    return out
+
+
+def _held(df: DataFrame, packed: bool) -> DataFrame:
+    """``df`` in blocks on the executors' disks, each on two executors so that the loss of one does no harm.
+
+    On a local or mounted file system Hadoop starts two processes (``chmod``) for every file that it writes,
+    and each counts as large as the executor's JVM until it runs its program; blocks need none.
+    """
+    spark = df.sparkSession
+    with tidy(spark):
+        once = df.select("*")
+    out = once.localCheckpoint(storageLevel=StorageLevel.DISK_ONLY_2)
+    rdd = out._jdf.queryExecution().logical().rdd()
+    if packed:  # about as many partitions as files of that size would be read in
+        stored = sum(x.diskSize() for x in spark.sparkContext._jsc.sc().getRDDStorageInfo() if x.id() == rdd.id())
+        most = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+        out = out.coalesce(max(spark.sparkContext.defaultParallelism, -(-BLOCKS * stored // most)))
+    out._cut = rdd
     return out
 
 
@@ -134,18 +169,37 @@ def _place(spark: SparkSession, path: str) -> tuple[Any, Any]:
 
 
 def drop(*frames: DataFrame) -> None:
-    """Deletes the files of frames that ``cut`` made; they and what reads them can't be used any more."""
+    """Deletes the files or blocks of frames that ``cut`` made; they and what reads them can't be used any more."""
     within = _cuts.get() or []
     for df in frames:
-        place, files = _place(df.sparkSession, df._cut)
-        files.delete(place, True)
-        files.cancelDeleteOnExit(place)
+        if isinstance(df._cut, str):
+            place, files = _place(df.sparkSession, df._cut)
+            files.delete(place, True)
+            files.cancelDeleteOnExit(place)
+        else:
+            df._cut.unpersist(False)
         if df in within:
             within.remove(df)
 
 
 def settled(build: Callable[[], DataFrame], packed: bool = False) -> DataFrame:
-    """What ``build`` makes, cut; the files of all frames that it has cut on the way are deleted."""
+    """What ``build`` makes, cut; what all frames that it has cut on the way have written is deleted.
+
+    If blocks are lost with an executor, ``build`` runs once more and writes files.
+    """
+    try:
+        return _settled(build, packed)
+    except Exception as failed:
+        if _safe.get() or LOST not in str(failed):
+            raise
+    token = _safe.set(True)
+    try:
+        return _settled(build, packed)
+    finally:
+        _safe.reset(token)
+
+
+def _settled(build: Callable[[], DataFrame], packed: bool) -> DataFrame:
     inner: list[DataFrame] = []
     token = _cuts.set(inner)
     try:

@@ -388,3 +388,35 @@ def test_lean_stages_relieve_the_driver(spark, monkeypatch):
     for stage in (corpus_pipeline.dedup_lines, corpus_pipeline.dedup_documents, corpus_pipeline.mix_sources):
         done.clear()
         assert stage(spark, docs, "").count() >= 2 and len(done) >= 3
+
+
+def _bytes_written(spark, build):
+    """Bytes that Hadoop's file systems wrote while ``build`` ran, and those of the new files that are left."""
+    written = lambda: sum(s.getBytesWritten() for s in spark._jvm.org.apache.hadoop.fs.FileSystem.getAllStatistics())
+    before, old = written(), _held(spark)
+    build()
+    return written() - before, sum(n for p, n in _held(spark).items() if p not in old)
+
+
+def test_ngram_join_writes_files_for_its_result_only(spark):
+    rows = [(i, prose(i // 3, 200) + " end" * (i % 3)) for i in range(300)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    written, left = _bytes_written(spark, lambda: ngram_join.join(frame))
+    assert 0 < left <= written < 1.5 * left
+
+
+def test_blocks_that_are_lost_are_made_anew(spark):
+    runs = []
+
+    def build():
+        runs.append(common._safe.get())
+        inner = common.settled(lambda: common.cut(spark.range(7), packed=True).select((F.col("id") * 2).alias("id")))
+        if len(runs) == 1:
+            inner._cut.unpersist(True)  # as if the executor were gone
+        return inner.join(common.cut(spark.range(5, 20)), "id")
+
+    before = set(_held(spark))
+    out = common.settled(build)
+    assert sorted(r["id"] for r in out.collect()) == [6, 8, 10, 12] and runs == [False, True]
+    common.drop(out)
+    assert not set(_held(spark)) - before and not len(spark.sparkContext._jsc.sc().getRDDStorageInfo()) and not common._safe.get()
