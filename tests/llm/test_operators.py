@@ -420,3 +420,10 @@ def test_blocks_that_are_lost_are_made_anew(spark):
     assert sorted(r["id"] for r in out.collect()) == [6, 8, 10, 12] and runs == [False, True]
     common.drop(out)
     assert not set(_held(spark)) - before and not len(spark.sparkContext._jsc.sc().getRDDStorageInfo()) and not common._safe.get()
+
+
+def test_line_dedup_writes_files_for_its_result_only(spark):
+    rows = [(i, f"{prose(i // 3, 200)}{' end' * (i % 3)}\n{prose(1000 + i, 40)}") for i in range(300)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    written, left = _bytes_written(spark, lambda: line_dedup.removed(frame, "doc_id", "text"))
+    assert 0 < left <= written < 1.5 * left
